@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwell.llm.common import written
+from dwell.llm.cotraining import quality_classifier
 from dwell.llm.exact_dedup import exact_dedup
+from dwell.llm.license_scan import license_scan
 from dwell.llm.line_dedup import line_dedup
+from dwell.llm.mixing import mixing
+from dwell.llm.ngram_join import ngram_join
 from dwell.llm.packing import packing
 from dwell.llm.quality_rules import quality_rules
-from dwell.llm.common import written
+from dwell.llm.substring_dedup import substring_dedup
 from dwell.llm.wacz import warc_round_trip
 
 
@@ -25,6 +30,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    out, model = mixing(docs, labels, columns=["doc_id"], store=lambda df: written(df, "posteriors"))
+    return out.select("doc_id", "n_tokens", *[F.element_at("posteriors", d).alias(f"p_{d}") for d in model.domains], "rate")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -35,11 +46,23 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
+def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), columns=["doc_id"])
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc_round_trip(_table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), columns=["doc_id"])
 
@@ -49,8 +72,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("votes")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op3_packing, op6_warc, op8_exact_dedup, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_packing, op4_license_scan, op5_cotraining, op6_warc, op7_ngram_join, op8_exact_dedup, op9_quality_rules, op10_substring_dedup)}
 
 
 OP2_SQL = r"""
