@@ -1,0 +1 @@
+"""Visit profiles and exposure minutes from stay records, as lazy Spark DataFrames."""
