@@ -3,12 +3,13 @@
 A document's set: the distinct hashes of its 5-word shingles (of all its words, where they are fewer). Two documents
 link when 100 * overlap >= 80 * union; the result has the connected components of all links.
 
-1. Sets. One pass over the texts; documents with equal sets are one class, named by a 64-bit hash of the set.
+1. Sets. One pass over the texts; documents with equal sets are one class, named by a 64-bit hash of the set. A task
+   gathers bundles of sets, in which copies are one.
 2. Incidence, by n-gram blocks. A class needs to show only a prefix of its set: under one global order of n-grams two
    linked classes share an n-gram of their prefixes. The order puts the n-grams with the lowest hashes (SHARE of all)
-   first, by document frequency, and the others behind, by hash. A task sends the candidates for the prefix, bundled by
-   block as arrays; a block counts the classes of each n-gram and returns those that occur in two or more.
-3. Prefixes, by class blocks. N-grams of one class alone take the front of the order; what the block sent back follows
+   first, by frequency, and the others behind, by hash. A task sends the candidates for the prefix, bundled by
+   block as arrays; a block counts the sets of each n-gram and returns those that occur in two or more.
+3. Prefixes, by class blocks. N-grams of one set alone take the front of the order; what the block sent back follows
    by frequency, as far as the prefix reaches. Nearly all documents end here with nothing left.
 4. Clusters. Classes that share a prefix n-gram are tied to that n-gram's smallest class, a number of ties linear in
    the postings; connected components of the ties are clusters. Links never leave a cluster.
@@ -17,7 +18,7 @@ link when 100 * overlap >= 80 * union; the result has the connected components o
    overlaps; pairs whose sizes or overlaps fall below the bound go. Of the links only a spanning forest is emitted, at
    most one row for each class, so copies are never expanded into pairs. A last run of components joins the forests.
 
-Scale: moved are about 16 bytes for SHARE of all n-grams, once, and the sets of clustered classes, as often as their
+Scale: moved are about 12 bytes for SHARE of all n-grams, once, 18 for those of them that repeat, and the sets of clustered classes, as often as their
 cluster has blocks. A cluster of c classes costs (c / BLOCK) ** 2 / 2 tasks. Nothing is collected but counts. Hashes
 have 64 bits: two different sets of one name (chance n ** 2 / 2 ** 65) would be taken for one class.
 
@@ -34,18 +35,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwell.llm.common import partitions, quoted, small_batches, written
 from dwell.llm.components import components
+from dwell.llm.mph import mixed
 from dwell.llm.word_hash import ngram_hashes
 
 WORDS = 5
 PERCENT = 80
 SHARE = 0.3
 FLUSH = 1 << 20  # n-grams that a task bundles before it sends them
-BLOCKS_PER_PARTITION = 4
+BLOCKS_PER_PARTITION = 2
 BLOCK = 256
 CHUNK = 4096  # columns of the incidence matrix in one product
 #: Clustered classes up to which their ids are broadcast (8 bytes each); beyond, the texts are joined by shuffle.
@@ -69,55 +72,63 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-SENT = pa.schema([("kind", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("n_low", pa.int64()), ("grams", pa.binary()), ("nodes", pa.binary())])
-SENT_SQL = "kind int, block int, doc_id long, node long, n long, n_low long, grams binary, nodes binary"
+SENT = pa.schema([("kind", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("node", pa.int64()), ("name", pa.int64()), ("n", pa.int64()), ("n_low", pa.int64()), ("grams", pa.binary()), ("nodes", pa.binary())])
+SENT_SQL = "kind int, block int, doc_id long, node long, name long, n long, n_low long, grams binary, nodes binary"
 
 
 def _blank(n: int, kind: pa.DataType) -> pa.Array:
     return pa.nulls(n, kind)
 
 
-def _bundles(grams: np.ndarray, nodes: np.ndarray, block: np.ndarray, kind: int) -> Iterator[pa.RecordBatch]:
-    """Rows (block, grams, nodes) of arrays, sorted by block."""
-    order = np.argsort(block, kind="stable")
-    grams, nodes, block = grams[order], nodes[order], block[order]
-    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
-    for i in range(0, len(cuts) - 1, 256):
-        part = [(a, b) for a, b in zip(cuts[i : i + 256], cuts[i + 1 : i + 257]) if b > a]
-        if part:
-            n = len(part)
-            yield pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), pa.array([int(block[a]) for a, _ in part], pa.int32()), *(_blank(n, pa.int64()) for _ in range(4)), pa.array([grams[a:b].tobytes() for a, b in part], pa.binary()), pa.array([nodes[a:b].tobytes() for a, b in part], pa.binary())], schema=SENT)
+def _cuts(block: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of equal values in sorted blocks."""
+    ends = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+    return [(a, b) for a, b in zip(ends, ends[1:]) if b > a]
 
 
 def _sent(n_words: int, percent: int, share: float, n_blocks: int):
     limit = _limit(share)
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}  # by class: copies within a bundle combine
+        """A set is numbered within its bundle, so that an entry of the matrix is a hash and four bytes; copies within a
+        bundle are one set. A node is such a number with its bundle's and its task's."""
+        base = TaskContext.get().partitionId() << 40
+        held: list[np.ndarray] = []
+        numbers: dict[int, int] = {}
         size = 0
 
         def flush():
-            grams = np.concatenate(list(held.values()))
-            nodes = np.repeat(np.fromiter(held, np.int64, len(held)), [len(v) for v in held.values()])
-            yield from _bundles(grams, nodes, (grams % np.uint64(n_blocks)).astype(np.int32), 1)
+            grams = np.concatenate(held)
+            nodes = np.repeat(np.arange(len(held), dtype=np.uint32), [len(v) for v in held])
+            block = (grams % np.uint64(n_blocks)).astype(np.int32)
+            order = np.argsort(block, kind="stable")
+            grams, nodes, block = grams[order], nodes[order], block[order]
+            part = _cuts(block)
+            for i in range(0, len(part), 256):
+                own = part[i : i + 256]
+                n = len(own)
+                yield pa.RecordBatch.from_arrays([pa.array([1] * n, pa.int32()), pa.array([int(block[a]) for a, _ in own], pa.int32()), _blank(n, pa.int64()), pa.array([base] * n, pa.int64()), *(_blank(n, pa.int64()) for _ in range(3)), pa.array([grams[a:b].tobytes() for a, b in own], pa.binary()), pa.array([nodes[a:b].tobytes() for a, b in own], pa.binary())], schema=SENT)
 
         for batch in batches:
-            nodes, ns, lows = [], [], []
+            nodes, names, ns, lows = [], [], [], []
             for _, h in ngram_hashes(_texts(batch.column(1)), n_words):
                 own = np.unique(h)
                 n, n_low = len(own), int(np.searchsorted(own, limit))
                 name = set_name(own) if n else 0
-                nodes.append(name)
+                if n and name not in numbers:
+                    numbers[name] = len(held)
+                    held.append(own[: max(n_low, prefix_length(n, percent))])
+                    size += len(held[-1])
+                nodes.append(base + numbers[name] if n else None)
+                names.append(name)
                 ns.append(n)
                 lows.append(n_low)
-                if n and name not in held:
-                    held[name] = own[: max(n_low, prefix_length(n, percent))]
-                    size += len(held[name])
             k = len(nodes)
-            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), _blank(k, pa.int32()), batch.column(0), pa.array(nodes, pa.int64()), pa.array(ns, pa.int64()), pa.array(lows, pa.int64()), _blank(k, pa.binary()), _blank(k, pa.binary())], schema=SENT)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), _blank(k, pa.int32()), batch.column(0), pa.array(nodes, pa.int64()), pa.array(names, pa.int64()), pa.array(ns, pa.int64()), pa.array(lows, pa.int64()), _blank(k, pa.binary()), _blank(k, pa.binary())], schema=SENT)
             if size >= FLUSH:
                 yield from flush()
-                held, size = {}, 0
+                held, numbers, size = [], {}, 0
+                base += 1 << 20  # a bundle has fewer sets than n-grams, and far fewer than this
         if held:
             yield from flush()
 
@@ -147,30 +158,46 @@ def _joined(blobs: list[bytes | None], kind) -> np.ndarray:
 SHARED_SQL = "kind int, block int, node long, n long, n_low long, grams binary, nodes binary, df binary"
 
 
-def _shared(limit_blocks: int):
+def _class_block(nodes: np.ndarray, n: int) -> np.ndarray:
+    return (mixed(nodes.view(np.uint64), 9) % np.uint64(n)).astype(np.int32)
+
+
+def _shared(n_class_blocks: int):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """N-grams of two classes or more, bundled by class block, with the number of classes."""
+        """N-grams of two sets or more, bundled by class block over all blocks of the task, with the number of sets."""
         kind = pa.schema([("kind", pa.int32()), ("block", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("n_low", pa.int64()), ("grams", pa.binary()), ("nodes", pa.binary()), ("df", pa.binary())])
-        for _, held in _by_block(batches, ["grams", "nodes"]):
-            grams, nodes = _joined(held["grams"], np.uint64), _joined(held["nodes"], np.int64)
-            order = np.lexsort((nodes, grams))
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def flush():
+            grams, nodes, df = (np.concatenate(c) for c in zip(*held))
+            block = _class_block(nodes, n_class_blocks)
+            order = np.argsort(block, kind="stable")
+            grams, nodes, df, block = grams[order], nodes[order], df[order], block[order]
+            part = _cuts(block)
+            for i in range(0, len(part), 256):
+                own = part[i : i + 256]
+                n = len(own)
+                blobs = [pa.array([x[a:b].tobytes() for a, b in own], pa.binary()) for x in (grams, nodes, df)]
+                yield pa.RecordBatch.from_arrays([pa.array([1] * n, pa.int32()), pa.array([int(block[a]) for a, _ in own], pa.int32()), *(_blank(n, pa.int64()) for _ in range(3)), *blobs], schema=kind)
+
+        for _, rows in _by_block(batches, ["node", "grams", "nodes"]):
+            grams = _joined(rows["grams"], np.uint64)
+            nodes = np.concatenate([base + np.frombuffer(x, np.uint32).astype(np.int64) for base, x in zip(rows["node"], rows["nodes"])])
+            order = np.argsort(grams, kind="stable")
             grams, nodes = grams[order], nodes[order]
-            keep = np.ones(len(grams), bool)
-            keep[1:] = (grams[1:] != grams[:-1]) | (nodes[1:] != nodes[:-1])
-            grams, nodes = grams[keep], nodes[keep]
-            start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
+            start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
             count = np.diff(np.append(start, len(grams)))
             df = np.repeat(count, count)
-            grams, nodes, df = grams[df > 1], nodes[df > 1], df[df > 1]
-            block = (nodes.view(np.uint64) % np.uint64(limit_blocks)).astype(np.int32)
-            order = np.argsort(block, kind="stable")
-            grams, nodes, df, block = grams[order], nodes[order], df[order].astype(np.int64), block[order]
-            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
-            part = [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
-            if part:
-                n = len(part)
-                blobs = [pa.array([x[a:b].tobytes() for a, b in part], pa.binary()) for x in (grams, nodes, df)]
-                yield pa.RecordBatch.from_arrays([pa.array([1] * n, pa.int32()), pa.array([int(block[a]) for a, _ in part], pa.int32()), *(_blank(n, pa.int64()) for _ in range(3)), *blobs], schema=kind)
+            many = df > 1
+            if many.any():
+                held.append((grams[many], nodes[many], np.minimum(df[many], 0xFFFF).astype(np.uint16)))
+                size += int(many.sum())
+            if size >= FLUSH:
+                yield from flush()
+                held, size = [], 0
+        if held:
+            yield from flush()
 
     return per_partition
 
@@ -185,7 +212,7 @@ def _prefixes(percent: int, share: float):
         for _, held in _by_block(batches, ["kind", "node", "n", "n_low", "grams", "nodes", "df"]):
             known = np.array([(a, b, c) for k, a, b, c in zip(held["kind"], held["node"], held["n"], held["n_low"]) if k == 0], np.int64).reshape(-1, 3)
             known = known[np.argsort(known[:, 0])]
-            grams, nodes, df = (_joined(held[c], t) for c, t in (("grams", np.uint64), ("nodes", np.int64), ("df", np.int64)))
+            grams, nodes, df = (_joined(held[c], t) for c, t in (("grams", np.uint64), ("nodes", np.int64), ("df", np.uint16)))
             if not len(grams):
                 continue
             # a class's low n-grams by frequency, behind those that it has alone; then the others, which are in the prefix or were not sent
@@ -210,9 +237,9 @@ def _sets(n_words: int):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, sets = [], []
-            for i, ((_, h), node) in enumerate(zip(ngram_hashes(_texts(batch.column("text")), n_words), batch.column("node").to_pylist())):
+            for i, ((_, h), name) in enumerate(zip(ngram_hashes(_texts(batch.column("text")), n_words), batch.column("name").to_pylist())):
                 own = np.unique(h)
-                if len(own) and set_name(own) == node:  # another document may have the same id
+                if len(own) and set_name(own) == name:  # another document may have the same id
                     keep.append(i)
                     sets.append(own.tobytes())
             rows = batch.select(["node", "cluster", "n_blocks", "at"]).take(pa.array(keep, pa.int64()))
@@ -288,41 +315,49 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text"))
     n_blocks = BLOCKS_PER_PARTITION * n
 
-    sent = texts.mapInArrow(_sent(n_words, percent, SHARE, n_blocks), SENT_SQL)
-    sent = written(sent, "sent")
-    own = sent.where("kind = 0").select("doc_id", "node", "n", "n_low")
-    classes = written(own.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("n_low").alias("n_low")), "classes")
+    sent = written(texts.mapInArrow(_sent(n_words, percent, SHARE, n_blocks), SENT_SQL), "sent")
+    own = sent.where("kind = 0").select("doc_id", "node", "name", "n", "n_low")
+    # sets of one name are one class, whatever bundles they came in; its node is the least of theirs
+    nodes = written(own.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("name").alias("name"), F.first("n").alias("n"), F.first("n_low").alias("n_low")), "nodes")
+    classes = written(nodes.groupBy("name").agg(F.min("node").alias("class"), F.min("least").alias("least")), "classes")
+    copies = nodes.join(classes.select("name", "class"), "name").where("node <> class").select("node", "class")
 
-    dealt = sent.where("kind = 1").select("block", "grams", "nodes").repartition(n, "block").sortWithinPartitions("block")
-    shared = dealt.mapInArrow(_shared(n_blocks), SHARED_SQL)
-    named = classes.select(F.lit(0).alias("kind"), F.pmod(_unsigned("node"), F.lit(n_blocks)).cast("int").alias("block"), "node", "n", "n_low", *[F.lit(None).cast("binary").alias(c) for c in ("grams", "nodes", "df")])
+    dealt = sent.where("kind = 1").select("block", "node", "grams", "nodes").repartition(n, "block").sortWithinPartitions("block")
+    shared = dealt.mapInArrow(_shared(n), SHARED_SQL)
+    named = nodes.mapInArrow(_blocked(n), SHARED_SQL)
     met = shared.unionByName(named).repartition(n, "block").sortWithinPartitions("block")
-    postings = written(met.mapInArrow(_prefixes(percent, SHARE), POSTINGS_SQL), "postings")
+    postings = met.mapInArrow(_prefixes(percent, SHARE), POSTINGS_SQL)
+    postings = written(postings.join(copies, "node", "left").select("gram", F.coalesce("class", "node").alias("node")), "postings")
 
-    lists = postings.groupBy("gram").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1").select("gram", "hub")
-    ties = postings.join(lists, "gram").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    clusters = written(components(ties), "clusters").select(F.col("v").alias("node"), F.col("label").alias("cluster"))
+    lists = postings.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("gram", "hub")
+    ties = postings.join(lists, "gram").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    clusters = components(ties).select(F.col("v").alias("node"), F.col("label").alias("cluster"))
 
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_blocks"))
-    wanted = clusters.join(sizes, "cluster").join(classes.select("node", "least"), "node")
-    wanted = written(wanted.select("node", "cluster", "n_blocks", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("at"), "least"), "wanted")
+    wanted = clusters.join(sizes, "cluster").join(classes.select(F.col("class").alias("node"), "name", "least"), "node")
+    wanted = written(wanted.select("node", "name", "cluster", "n_blocks", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("at"), "least"), "wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    chosen = texts.join(wanted, texts.doc_id.eqNullSafe(F.col("least"))).select("node", "cluster", "n_blocks", "at", "text")
+    chosen = texts.join(wanted, texts.doc_id.eqNullSafe(F.col("least"))).select("node", "name", "cluster", "n_blocks", "at", "text")
     sets = chosen.mapInArrow(_sets(n_words), "node long, cluster long, n_blocks int, at int, grams binary")
     other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
     pairs = sets.select("*", other.alias("other")).select("node", "grams", "cluster", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
     found = pairs.groupBy("cluster", "i", "j").applyInArrow(_product(percent), "a long, b long")
-    joined = written(components(found), "linked")
+    joined = components(found)
 
-    named = classes.join(joined, classes.node == joined.v, "left").select("node", "least", F.coalesce("label", "node").alias("label"))
+    named = classes.join(joined, classes["class"] == joined.v, "left").select("name", "least", F.coalesce("label", "class").alias("label"))
     least = named.groupBy("label").agg(F.min("least").alias("component"))
-    by_class = written(named.join(least, "label").select("node", "component"), "by-class")
-    out = own.join(by_class, "node", "left")
+    by_class = named.join(least, "label").select("name", "component")
+    out = own.join(by_class, "name", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _unsigned(name: str):
-    """A long read as an unsigned number, as the blocks of Python are reckoned."""
-    v = F.col(name).cast("decimal(20,0)")
-    return F.when(v < 0, v + F.lit("18446744073709551616").cast("decimal(20,0)")).otherwise(v)
+def _blocked(n_class_blocks: int):
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each node's sizes, sent to its class block."""
+        for b in batches:
+            node, n = b.column("node"), b.num_rows
+            block = _class_block(node.to_numpy(), n_class_blocks)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.array(block), node, b.column("n"), b.column("n_low"), *(_blank(n, pa.binary()) for _ in range(3))], names=["kind", "block", "node", "n", "n_low", "grams", "nodes", "df"])
+
+    return per_partition
