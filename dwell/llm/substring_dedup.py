@@ -43,7 +43,7 @@ MIN_CHAIN = 2 * K
 REACH = K + WINDOW - 2  # words beside a chain that may match though no seed shows it
 GAP_COST = 0.2
 DROP = 6  # an extension ends when its score is so far below its best
-BLOCKS_PER_PARTITION = 4
+BLOCKS_PER_PARTITION = 2
 FLUSH = 1 << 20
 BROADCAST_ROWS = 500_000
 
@@ -142,10 +142,21 @@ def _grouped(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.n
 
 def _matched(n_blocks: int):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            matches = np.concatenate(held)
+            yield from _bundled(matches, _by(np.ascontiguousarray(matches["doc"]), n_blocks), 1)
+
         for seeds in _grouped(batches, SEED):
             matches, _ = tied(seeds[np.lexsort((seeds["pos"], seeds["doc"], seeds["gram"]))])
-            if len(matches):
-                yield from _bundled(matches, _by(np.ascontiguousarray(matches["doc"]), n_blocks), 1)
+            held.append(matches)
+            size += len(matches)
+            if size >= FLUSH:
+                yield from flush()
+                held, size = [], 0
+        if size:
+            yield from flush()
 
     return per_partition
 

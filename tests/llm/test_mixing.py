@@ -32,7 +32,7 @@ def test_rates_against_brute_force(spark, least, growth):
     t = rng.integers(1, 900, 300).astype(float)
     names, weights = ["a", "b", "c"], {"a": 0.5, "b": 0.1, "c": 0.4}
     slim = spark.createDataFrame([(int(n), [float(x) for x in row]) for n, row in zip(t, p)], "n_tokens long, p array<double>")
-    steps = M.solve(slim, names, weights, least, growth, rounds=40, tolerance=1e-6)
+    steps = M.solve(slim, names, weights, least, growth, rounds=30, tolerance=1e-6)
     got = {(r.n_tokens, tuple(r.p)): r.rate for r in slim.withColumn("rate", M.folded(steps, least)).collect()}
     rate = np.array([got[int(n), tuple(float(x) for x in row)] for n, row in zip(t, p)])
     goal = growth * t.sum() * np.array([weights[n] for n in names])
