@@ -13,7 +13,7 @@ link when 100 * overlap >= 80 * union; the result has the connected components o
    by frequency, as far as the prefix reaches. Nearly all documents end here with nothing left.
 4. Clusters. Classes that share a prefix n-gram are tied to that n-gram's smallest class, a number of ties linear in
    the postings; connected components of the ties are clusters. Links never leave a cluster.
-5. Product. A cluster of more than BLOCK classes is cut into blocks, and each pair of blocks is a task of its own. A
+5. Product. A cluster of more than BLOCK classes (or BLOCK_GRAMS n-grams) is cut into blocks, and each pair of blocks is a task of its own. A
    task multiplies the incidence matrix of its classes with its transpose, chunk by chunk of n-grams, accumulating
    overlaps; pairs whose sizes or overlaps fall below the bound go. Of the links only a spanning forest is emitted, at
    most one row for each class, so copies are never expanded into pairs. A last run of components joins the forests.
@@ -46,10 +46,11 @@ from dwell.llm.word_hash import ngram_hashes
 
 WORDS = 5
 PERCENT = 80
-SHARE = 0.3
+SHARE = 0.5
 FLUSH = 1 << 20  # n-grams that a task bundles before it sends them
 BLOCKS_PER_PARTITION = 2
-BLOCK = 256
+BLOCK = 1024
+BLOCK_GRAMS = 1 << 19
 CHUNK = 4096  # columns of the incidence matrix in one product
 #: Clustered classes up to which their ids are broadcast (8 bytes each); beyond, the texts are joined by shuffle.
 BROADCAST_ROWS = 500_000
@@ -319,7 +320,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = sent.where("kind = 0").select("doc_id", "node", "name", "n", "n_low")
     # sets of one name are one class, whatever bundles they came in; its node is the least of theirs
     nodes = written(own.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("name").alias("name"), F.first("n").alias("n"), F.first("n_low").alias("n_low")), "nodes")
-    classes = written(nodes.groupBy("name").agg(F.min("node").alias("class"), F.min("least").alias("least")), "classes")
+    classes = written(nodes.groupBy("name").agg(F.min("node").alias("class"), F.min("least").alias("least"), F.first("n").alias("n")), "classes")
     copies = nodes.join(classes.select("name", "class"), "name").where("node <> class").select("node", "class")
 
     dealt = sent.where("kind = 1").select("block", "node", "grams", "nodes").repartition(n, "block").sortWithinPartitions("block")
@@ -333,8 +334,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ties = postings.join(lists, "gram").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     clusters = components(ties).select(F.col("v").alias("node"), F.col("label").alias("cluster"))
 
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_blocks"))
-    wanted = clusters.join(sizes, "cluster").join(classes.select(F.col("class").alias("node"), "name", "least"), "node")
+    members = written(clusters.join(classes.select(F.col("class").alias("node"), "name", "least", "n"), "node"), "members")
+    sizes = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("n_blocks"))
+    wanted = members.join(sizes, "cluster")
     wanted = written(wanted.select("node", "name", "cluster", "n_blocks", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("at"), "least"), "wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
