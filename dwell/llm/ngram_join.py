@@ -47,11 +47,11 @@ from dwell.llm.word_hash import ngram_hashes
 WORDS = 5
 PERCENT = 80
 SHARE = 0.5
-FLUSH = 1 << 20  # n-grams that a task bundles before it sends them
+FLUSH = 1 << 18  # n-grams that a task bundles before it sends them
 BLOCKS_PER_PARTITION = 2
-BLOCK = 1024
-BLOCK_GRAMS = 1 << 19
-CHUNK = 4096  # columns of the incidence matrix in one product
+BLOCK = 512
+BLOCK_GRAMS = 1 << 18
+CHUNK = 2048  # columns of the incidence matrix in one product
 #: Clustered classes up to which their ids are broadcast (8 bytes each); beyond, the texts are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -252,7 +252,8 @@ def _sets(n_words: int):
 def overlaps(sets: list[np.ndarray], chunk: int = CHUNK) -> np.ndarray:
     """Sizes of all pairwise intersections: the product of the incidence matrix with its transpose, over column chunks."""
     size = np.array([len(s) for s in sets])
-    out = np.zeros((len(sets), len(sets)), np.float32)
+    kind = np.float32 if size.max() < 1 << 24 else np.float64  # in which counts are exact
+    out = np.zeros((len(sets), len(sets)), kind)
     grams, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), size)
     use = count[at] > 1  # columns of one class add nothing beside the diagonal
@@ -263,21 +264,23 @@ def overlaps(sets: list[np.ndarray], chunk: int = CHUNK) -> np.ndarray:
     n = int(column[-1]) + 1 if len(column) else 0
     for a in range(0, n, chunk):
         i, j = np.searchsorted(column, [a, a + chunk])
-        part = np.zeros((len(sets), min(chunk, n - a)), np.float32)
+        part = np.zeros((len(sets), min(chunk, n - a)), kind)
         part[row[i:j], column[i:j] - a] = 1
         out += part @ part.T
-    out = out.astype(np.int64)
     np.fill_diagonal(out, size)
     return out
 
 
-def links(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+def links(sets: list[np.ndarray], percent: int = PERCENT, rows: int = 64) -> np.ndarray:
     """Pairs (i, j), i < j, with 100 * overlap >= percent * union."""
     size = np.array([len(s) for s in sets], np.int64)
-    both = overlaps(sets)
-    small, large = np.minimum(size[:, None], size[None, :]), np.maximum(size[:, None], size[None, :])
-    hit = (100 * small >= percent * large) & (100 * both >= percent * (size[:, None] + size[None, :] - both))
-    return np.argwhere(np.triu(hit, 1))
+    both, found = overlaps(sets), [np.zeros((0, 2), np.int64)]
+    for a in range(0, len(sets), rows):
+        own, common = size[a : a + rows, None], both[a : a + rows].astype(np.int64)
+        hit = (100 * np.minimum(own, size) >= percent * np.maximum(own, size)) & (100 * common >= percent * (own + size - common))
+        pairs = np.argwhere(hit) + [a, 0]
+        found.append(pairs[pairs[:, 0] < pairs[:, 1]])
+    return np.concatenate(found)
 
 
 def forest(n: int, pairs: np.ndarray) -> list[tuple[int, int]]:

@@ -13,7 +13,7 @@ import numpy as np
 
 from dwell.llm.mph import mixed
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLE = mixed(np.arange(256, dtype=np.uint64), 77)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
