@@ -12,11 +12,12 @@
    words agree often enough. Aligned pieces that overlap or touch, whatever their sources, form a passage; those in
    passages of at least min_words words are the result.
 
-The first holder of a passage is its source and is named as such; every other holder has rows of its own. A piece's
+A document's chains that other chains cover wholly are not needed and are left out before. The first holder of a passage
+is its source and is named as such; every other holder has rows of its own. A piece's
 source need not hold the whole passage: pieces from several sources may cover it.
 
-Scale: moved are 20 bytes for two of eleven words, 24 bytes for each match, and the texts of documents with enough
-matched words together with their sources' texts. A task holds one bundle, one block, or one document's matches.
+Scale: moved are 20 bytes for two of eleven words, 24 bytes for each match, the texts of documents with enough
+matched words and of their sources, and of the former once more the words about each chain. A task holds one bundle, one block, or one document's matches.
 
 Edge cases: null and empty texts and texts under 6 words share nothing; rows without an id are left out, as no result
 could name them; rows of one id are searched as one document, never against each other, so equal rows share nothing;
@@ -41,10 +42,11 @@ MIN_WORDS = 50
 MAX_GAP = 30
 MIN_CHAIN = 2 * K
 REACH = K + WINDOW - 2  # words beside a chain that may match though no seed shows it
+PAD = 4 * REACH  # words beside a chain that an extension may go through
 GAP_COST = 0.2
 DROP = 6  # an extension ends when its score is so far below its best
 BLOCKS_PER_PARTITION = 2
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 BROADCAST_ROWS = 500_000
 
 BUNDLE_SQL = "kind int, block int, a binary"
@@ -248,16 +250,33 @@ def pieces(pos: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.array(out, SEGMENT)
 
 
-def covered(spans: list[tuple[int, int]], slack: int) -> int:
-    """The longest run that spans cover, when each is widened by slack."""
-    best, start, end = 0, None, None
-    for a, b in sorted(spans):
-        a, b = max(0, a - slack), b + slack
-        if end is None or a > end:
-            start, end = a, b
-        end = max(end, b)
-        best = max(best, end - start)
-    return best
+def needed(spans: list[tuple[int, int]], min_words: int, slack: int) -> list[int]:
+    """Of spans those that are needed to cover every run of min_words or more that all of them cover, each widened by
+    slack. Within a run each span chosen reaches furthest among those that begin where the covered part ends or before."""
+    order = sorted(range(len(spans)), key=lambda i: (spans[i][0], -spans[i][1]))
+    out, i = [], 0
+    while i < len(order):
+        run, end = [], spans[order[i]][1]
+        while i < len(order) and spans[order[i]][0] - slack <= end + slack:
+            end = max(end, spans[order[i]][1])
+            run.append(order[i])
+            i += 1
+        if end + slack - max(0, spans[run[0]][0] - slack) < min_words:
+            continue
+        k, done = 0, -1
+        while k < len(run):
+            best = run[k]
+            if spans[best][1] <= done:  # nothing new
+                k += 1
+                continue
+            while k < len(run) and spans[run[k]][0] <= max(done, spans[best][0]):
+                if spans[run[k]][1] > spans[best][1]:
+                    best = run[k]
+                k += 1
+            if spans[best][1] > done:
+                out.append(best)
+                done = spans[best][1]
+    return out
 
 
 def _chained(min_words: int):
@@ -272,13 +291,16 @@ def _chained(min_words: int):
             own: list[tuple[int, int, np.ndarray]] = []
 
             def close():
-                spans = []
-                for _, _, s in own:
-                    for c in np.unique(s["chain"]):
-                        t = s[s["chain"] == c]
-                        spans.append((int(t["pos"].min()), int((t["pos"] + t["size"]).max())))
-                if covered(spans, REACH) >= min_words:
-                    rows.extend((d, x, s.tobytes()) for d, x, s in own)
+                spans, of = [], []
+                for k, (_, _, s) in enumerate(own):
+                    starts = np.flatnonzero(np.concatenate([[True], s["chain"][1:] != s["chain"][:-1]]))
+                    least, most = np.minimum.reduceat(s["pos"], starts), np.maximum.reduceat(s["pos"] + s["size"], starts)
+                    spans += zip(least.tolist(), most.tolist())
+                    of += [(k, c) for c in s["chain"][starts].tolist()]
+                kept: dict[int, list[int]] = {}
+                for i in needed(spans, min_words, REACH):
+                    kept.setdefault(of[i][0], []).append(of[i][1])
+                rows.extend((own[k][0], own[k][1], own[k][2][np.isin(own[k][2]["chain"], chosen)].tobytes()) for k, chosen in kept.items())
                 own.clear()
 
             for a, b in zip(cuts, cuts[1:]):
@@ -346,6 +368,26 @@ def aligned(x: list[bytes], y: list[bytes], parts: np.ndarray) -> list[tuple[int
     return out
 
 
+SLICED_SQL = "doc long, source long, segments binary, first long, doc_text binary"
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the texts only the words about the chains go on to meet their sources; positions then count from first."""
+    for batch in batches:
+        firsts, slices, parts = [], [], []
+        last: tuple[bytes, list[bytes]] = (b"", [])
+        for raw, data in zip(batch.column("doc_text").cast(pa.binary()), batch.column("segments")):
+            if (text := raw.as_py()) != last[0]:
+                last = (text, words_of(text))
+            own = np.frombuffer(data.as_py(), SEGMENT).copy()
+            first = max(0, int(own["pos"].min()) - PAD)
+            slices.append(b" ".join(last[1][first : int((own["pos"] + own["size"]).max()) + PAD]))
+            own["pos"] -= first
+            firsts.append(first)
+            parts.append(own.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("source"), pa.array(parts, pa.binary()), pa.array(firsts, pa.int64()), pa.array(slices, pa.binary())], names=["doc", "source", "segments", "first", "doc_text"])
+
+
 ALIGNED_SQL = "doc_id long, start long, end long, source_doc_id long, source_start long, source_end long, n_equal long"
 
 
@@ -353,15 +395,15 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
         last: tuple[bytes, list[bytes]] = (b"", [])
-        cols = {n: batch.column(n) for n in ("doc", "source", "segments")}
+        cols = {n: batch.column(n) for n in ("doc", "source", "segments", "first")}
         texts = [batch.column(n).cast(pa.binary()) for n in ("doc_text", "source_text")]
         for i in range(batch.num_rows):
             x = words_of(texts[0][i].as_py())
             raw = texts[1][i].as_py()
             if raw != last[0]:
                 last = (raw, words_of(raw))
-            doc, source = cols["doc"][i].as_py(), cols["source"][i].as_py()
-            rows += [(doc, a, b, source, c, d, e) for a, b, c, d, e in aligned(x, last[1], np.frombuffer(cols["segments"][i].as_py(), SEGMENT))]
+            doc, source, first = (cols[c][i].as_py() for c in ("doc", "source", "first"))
+            rows += [(doc, a + first, b + first, source, c, d, e) for a, b, c, d, e in aligned(x, last[1], np.frombuffer(cols["segments"][i].as_py(), SEGMENT))]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "n_equal"])
 
@@ -384,8 +426,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     few = wanted.count() <= BROADCAST_ROWS
     chosen = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
     left = found.join(chosen.select(F.col("doc_id").alias("doc"), F.col("text").alias("doc_text")), "doc")
+    left = left.select("doc", "source", "segments", "doc_text").mapInArrow(_sliced, SLICED_SQL)
     both = left.join(chosen.select(F.col("doc_id").alias("source"), F.col("text").alias("source_text")), "source")
-    spans = written(both.select("doc", "source", "segments", "doc_text", "source_text").mapInArrow(_aligned, ALIGNED_SQL).distinct(), "aligned")
+    spans = written(both.select("doc", "source", "segments", "first", "doc_text", "source_text").mapInArrow(_aligned, ALIGNED_SQL).distinct(), "aligned")
 
     order = Window.partitionBy("doc_id").orderBy("start", "end", "source_doc_id", "source_start")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
