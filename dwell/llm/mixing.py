@@ -31,9 +31,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwell.llm.common import SPACE_CLASS, packed, quoted
+from dwell.llm.common import SPACE_CLASS, packed, quoted, written
 
-MAX_LABELLED = 10_000
+MAX_LABELLED = 4_000
 WORDS = 128
 MIN_COUNT = 10
 #: Half the G statistic that a word must reach: what chance alone hardly gives to any of a million words.
@@ -70,9 +70,14 @@ class Model:
         """others and p: an array in the order of domains. rows: w and marks as well."""
         if not self.weights:
             return rows.select(*others, F.array(*[F.lit(math.exp(x)) for x in self.prior]).alias("p"))
-        table = F.create_map(*[x for w, v in self.weights.items() for x in (F.lit(w), F.array(*[F.lit(float(y)) for y in v]))])
-        known = F.concat(F.array_intersect("w", F.array(*[F.lit(w) for w in self.weights])), F.array_intersect("marks", F.array(*[F.lit(w) for w in self.weights])))
-        score = F.aggregate(known, F.array(*[F.lit(float(p)) for p in self.prior]), lambda acc, w: F.zip_with(acc, F.element_at(table, w), lambda a, b: a + b))
+        words = F.array(*[F.lit(w) for w in self.weights])
+        known = rows.select(*others, F.concat(F.array_intersect("w", words), F.array_intersect("marks", words)).alias("known"))
+
+        def score(k: int) -> Column:
+            table = F.create_map(*[x for w, v in self.weights.items() for x in (F.lit(w), F.lit(float(v[k])))])
+            return F.aggregate("known", F.lit(float(self.prior[k])), lambda a, w: a + F.element_at(table, w))
+
+        rows, score = known, F.array(*[score(k) for k in range(len(self.domains))])
         scored = rows.select(*others, score.alias("score")).select(*others, "score", F.array_max("score").alias("most"))
         shown = scored.select(*others, F.transform("score", lambda v: F.exp(v - F.col("most"))).alias("e"))
         shown = shown.select(*others, "e", F.aggregate("e", F.lit(0.0), lambda a, b: a + b).alias("all"))
@@ -86,14 +91,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = F.broadcast(own.orderBy(F.xxhash64(F.lit(7), "id"), "id", "domain").limit(max_labelled))
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).alias("text")).join(sample, "id")
     rows = _featured(rows, "text", [F.col("domain")]).select("domain", F.concat(F.array_distinct("w"), "marks").alias("present"))
-    sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "domain").limit(MAX_DOMAINS + 1).collect()}
-    if len(sizes) > MAX_DOMAINS:
+    names = [r.domain for r in sample.select("domain").distinct().orderBy("domain").limit(MAX_DOMAINS + 1).collect()]
+    if len(names) > MAX_DOMAINS:
         raise ValueError(f"more than {MAX_DOMAINS} domains")
-    domains = sorted(sizes)
+    if not names:
+        return Model(["all"], [0.0], {})
+    counted = rows.select("domain", F.explode("present").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n{i}") for i, d in enumerate(names)])
+    counted = written(counted.where((F.col("n") >= MIN_COUNT) | F.col("word").contains(" ")), "words")
+    # each document has one mark of each kind, so those of one kind count the documents
+    found = counted.where(F.col("word").startswith("symbols ")).agg(*[F.sum(f"n{i}").alias(d) for i, d in enumerate(names)]).first()
+    sizes = {d: found[d] for d in names if found[d]}
+    domains = list(sizes)
     if len(domains) < 2:
         return Model(domains or ["all"], [0.0], {})
     total = sum(sizes.values())
-    counted = rows.select("domain", F.explode("present").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"n{i}") for i, d in enumerate(domains)])
+    counted = counted.select("word", "n", *[F.col(f"n{names.index(d)}").alias(f"n{i}") for i, d in enumerate(domains)])
     # how far the domains of a word's documents are from those of all, times their number
     share = {d: n / total for d, n in sizes.items()}
     told = sum((F.when(F.col(f"n{i}") > 0, F.col(f"n{i}") * F.log(F.col(f"n{i}") / F.col("n") / share[d])).otherwise(0.0) for i, d in enumerate(domains)), F.lit(0.0))
