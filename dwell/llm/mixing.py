@@ -90,7 +90,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     own = labels.select(F.col(quoted(id_col)).cast("long").alias("id"), domain.alias("domain")).dropna()
     sample = F.broadcast(own.orderBy(F.xxhash64(F.lit(7), "id"), "id", "domain").limit(max_labelled))
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).alias("text")).join(sample, "id")
-    rows = _featured(rows, "text", [F.col("domain")]).select("domain", F.concat(F.array_distinct("w"), "marks").alias("present"))
+    # written first: with all of this in one generated method, the loop over words would be too long for the JVM to compile
+    rows = written(_featured(rows, "text", [F.col("domain")]).select("domain", F.concat(F.array_distinct("w"), "marks").alias("present")), "sample")
     names = [r.domain for r in sample.select("domain").distinct().orderBy("domain").limit(MAX_DOMAINS + 1).collect()]
     if len(names) > MAX_DOMAINS:
         raise ValueError(f"more than {MAX_DOMAINS} domains")
