@@ -2,9 +2,9 @@
 
 1. Seeds. Of a document's 6-word hashes those stay that are least in some window of 10, so any exact run of 15 words
    that two documents share gives both the same seed.
-2. Matches. Equal seeds are tied to one occurrence, that of the smallest document: first within each task's bundle,
-   which sends on only that one, then in blocks of seeds. A seed that very many documents hold is thus one entry for
-   each bundle, and it makes one match for each document that holds it, never a pair of any two.
+2. Matches. Equal seeds are tied to one occurrence, the first of the smallest document: first within each task's bundle,
+   which sends on all positions of that document only, then in blocks of seeds. A seed that very many documents hold is
+   thus one document's entries for each bundle, and it makes one match for each place that holds it, never a pair of any two.
 3. Chains. The matches of a document with a source are merged along diagonals and chained in both orders; a chain's
    score is its seeds' less a cost for the words between them, and a Fenwick tree of prefix maxima finds the best
    predecessor. A chain ends where it leaves more than MAX_GAP words.
@@ -83,7 +83,7 @@ def _bundled(rows: np.ndarray, block: np.ndarray, kind: int) -> Iterator[pa.Reco
 
 
 def tied(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Seeds in order of (gram, doc, pos) to (matches with the first occurrence of another document, first occurrences)."""
+    """Seeds in order of (gram, doc, pos) to (matches with the first occurrence of another document, all seeds of the first holders)."""
     if not len(seeds):
         return np.zeros(0, MATCH), seeds
     start = np.flatnonzero(np.concatenate([[True], seeds["gram"][1:] != seeds["gram"][:-1]]))
@@ -92,7 +92,7 @@ def tied(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     matches = np.zeros(int(other.sum()), MATCH)
     matches["doc"], matches["pos"] = seeds["doc"][other], seeds["pos"][other]
     matches["source"], matches["at"] = seeds["doc"][first[other]], seeds["pos"][first[other]]
-    return matches, seeds[start]
+    return matches, seeds[~other]
 
 
 def _by(x: np.ndarray, n: int) -> np.ndarray:

@@ -58,6 +58,20 @@ def test_awkward_rows(spark):
     assert S.substring_dedup(docs(spark, same)).count() == 0
 
 
+def test_a_passage_held_twice_whatever_the_partitions(spark):
+    rng = random.Random(11)
+    passage, rows, places = prose(rng, 70).split(), [], {}
+    for i in range(1, 9):
+        a, b, c = (prose(rng, 40).split() for _ in range(3))
+        rows.append((i, " ".join(a + passage + b + passage + c)))
+        places[i] = {(40, 110), (150, 220)}
+    for n in (1, 8):
+        out = S.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(n, "doc_id") if n == 1 else docs(spark, rows).repartitionByRange(n, "doc_id")).collect()
+        for i in range(2, 9):
+            got = {(r.passage_start, r.passage_end) for r in out if r.doc_id == i}
+            assert got == places[i], (n, i, got)
+
+
 def test_the_shuffled_way_and_clashing_names(spark, monkeypatch):
     monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
     rows, places = planted(7, 5, 0)
