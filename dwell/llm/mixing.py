@@ -43,6 +43,9 @@ MIN_LIFT = 2.0
 MAX_DOMAINS = 32
 ROUNDS = 30
 TOLERANCE = 1e-3
+#: Where growth is chosen from the data: how often, and by what factor, it is raised beyond the least.
+RAISES = 6
+RAISE = 1.1
 #: Shares of tokens by domain; q: quality, t: toxic.
 TARGETS = {"q1t0": 0.90, "q1t1": 0.04, "q0t0": 0.055, "q0t1": 0.005}
 OUTPUTS = ("n_tokens", "posteriors", "rate")
@@ -143,8 +146,10 @@ def folded(steps: list[Step], min_rate: float, ahead: float = 0.0) -> Column:
     return F.aggregate(moves, F.struct(first.alias("before"), first.alias("now")), move, lambda s: s["now"] + float(ahead) * (s["now"] - s["before"]))
 
 
-def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_rate: float = 0.0, growth: float = 1.0, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> list[Step]:
-    """slim: n_tokens and p. growth: the mix's tokens over the input's."""
+def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_rate: float = 0.0, growth: float | None = 1.0, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> list[Step]:
+    """slim: n_tokens and p. growth: the mix's tokens over the input's; None: the least at which every domain's goal is at
+    least what min_rate alone gives it, raised
+    further only where that brings the goals within reach of soft posteriors."""
 
     def sums(rate: Column) -> list[float]:
         r = slim.agg(*[F.sum(rate * F.col("n_tokens") * F.col("p")[i]).alias(f"s{i}") for i in range(len(domains))]).first()
@@ -155,6 +160,20 @@ def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_ra
     wanted = [targets.get(d, 0.0) if domains != ["all"] else 1.0 for d in domains]
     if not all_tokens or not sum(wanted):
         return []
+    if growth is None:
+        least = max(1.0, *[min_rate * b * sum(wanted) / (w * all_tokens) for b, w in zip(base, wanted) if w > 0])
+        first, last = None, math.inf
+        for k in range(RAISES + 1):
+            steps = solve(slim, domains, targets, min_rate, least * RAISE**k, rounds, tolerance)
+            now = sums(folded(steps, min_rate))
+            off = max(abs(s / sum(now) - w / sum(wanted)) for s, w in zip(now, wanted))
+            first = steps if first is None else first
+            if off <= 2 * tolerance:
+                return steps
+            if off > 0.75 * last:  # out of reach of these posteriors: more copies of everything would not help
+                break
+            last = off
+        return first
     goal = [growth * all_tokens * w / sum(wanted) for w in wanted]
     steps: list[Step] = []
     for k in range(rounds):
@@ -168,7 +187,7 @@ def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_ra
     return steps
 
 
-def mixing(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None, min_rate: float = 0.0, growth: float = 1.0, store=lambda df: df, wide: bool = False) -> tuple[DataFrame, Model]:
+def mixing(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None, min_rate: float = 0.0, growth: float | None = 1.0, store=lambda df: df, wide: bool = False) -> tuple[DataFrame, Model]:
     """(the input's columns, or those named, with n_tokens, posteriors (a map by domain) and rate; the model).
 
     store keeps a slim table between the steps. wide: columns are many, so only n_tokens and p are stored for the

@@ -1,7 +1,7 @@
 from collections import Counter
 
 import corpus_pipeline as P
-from dwell.llm.mixing import drawn, mixing
+from dwell.llm.mixing import TARGETS, drawn, folded, mixing, solve
 from tests.conftest import SF
 from tests.llm import test_exact_dedup, test_ngram_join, test_packing
 from tests.llm.common_cases import awkward_rows, docs
@@ -56,6 +56,17 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert last.columns == P.COLUMNS
 
 
+def test_mixing_without_drops_comes_to_the_targets(spark):
+    """Tokens by domain as in sf0.1; a fixed growth of 1.1 leaves q1t0 near 0.8 and the toxic ones near 0.1."""
+    names, base = ["q0t0", "q0t1", "q1t0", "q1t1"], [113, 14, 767, 106]
+    slim = spark.createDataFrame([(10 * n, [float(i == k) for i in range(4)]) for k, n in enumerate(base)], "n_tokens long, p array<double>")
+    rows = slim.withColumn("rate", folded(solve(slim, names, TARGETS, 1.0, P.GROWTH), 1.0)).collect()
+    tokens = [sum(r.rate * r.n_tokens * r.p[k] for r in rows) for k in range(4)]
+    assert min(r.rate for r in rows) >= 1
+    for name, n in zip(names, tokens):
+        assert abs(n / sum(tokens) - TARGETS[name]) < 0.005, (name, n / sum(tokens))
+
+
 def test_awkward_rows_go_through_every_stage(spark):
     rows = awkward_rows()
     for name, stage in P.STAGES:
