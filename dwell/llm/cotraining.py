@@ -1,9 +1,13 @@
 """Quality by co-training: a text view and a metadata view teach each other, then both score all documents.
 
-Training takes a bounded sample: of the labelled documents, and of the others as a pool, those with the smallest hash
-of their id, at most MAX_LABELLED and MAX_POOL rows of a few dozen numbers, fitted on the driver. Each round both
-classifiers (logistic regressions with ridge penalty) label the pool; the most confident pseudo-labels of each view, in
-the classes' proportions and as far as such confidence proves right on held-out rows, join the other view's training set. A part of the labelled rows stays out of training: on it
+The labelled documents are sampled: those with the smallest hash of their id, at most MAX_LABELLED rows of a few dozen
+numbers. The unlabelled ones all take part: their features are written once (about 220 bytes a document), and each round
+both classifiers (logistic regressions with ridge penalty) label every one of them that they have not labelled yet;
+what is as confident as proves right on held-out rows joins the other view's training set. Which rows have joined
+follows from the rounds' weights and least confidences, so a pass over the features finds it anew and nothing is kept by row.
+Newton's method takes its gradient and Hessian from such passes, a few hundred numbers from each task; the metadata view, whose
+rows are few different ones, from the numbers of each. All pseudo-labels of a class together weigh at most MAX_WEIGHT
+times as much as its labelled rows, whatever the table's size. A part of the labelled rows stays out of training: on it
 each view's log odds are calibrated, and the views are combined by a logistic regression over the calibrated log odds.
 Scoring is one pass over the documents in an Arrow UDF with the two weight vectors; nothing is shuffled.
 
@@ -12,13 +16,14 @@ knows language, source and length only, by hashed indicators.
 
 Edge cases: null and empty texts are measured as no words; null metadata have an indicator of their own; labels that are
 null are ignored, of several for a document the majority counts, and a tie counts as good; without labels of both
-classes every score is the share of good labels (or 1); rows without an id are scored too, but never trained on; equal
+classes every score is the share of good labels (or 1); rows without an id are scored too, and count as unlabelled; equal
 rows score equally; extra columns stay, but those named like an output give way to it; an empty table gives an empty
 result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,13 +32,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwell.llm.common import quoted, small_batches
+from dwell.llm.common import quoted, small_batches, written
 from dwell.llm.quality_rules import measure
 
 MAX_LABELLED = 10_000
-MAX_POOL = 10_000
 ROUNDS = 5
-PER_ROUND = 0.05  # of the pool, from each view
+MAX_WEIGHT = 4
 PRECISION = 0.98
 MIN_TRUST = 8
 THRESHOLD = 0.5
@@ -59,6 +63,19 @@ def metadata_features(lang: str | None, source: str | None, n_chars: int | None)
     return out
 
 
+def metadata_key(x: np.ndarray) -> np.ndarray:
+    """Rows of metadata features as one number each."""
+    a, b, c = x[:, 1 : 1 + BUCKETS].argmax(axis=1), x[:, 1 + BUCKETS : 1 + 2 * BUCKETS].argmax(axis=1), x[:, 1 + 2 * BUCKETS :].argmax(axis=1)
+    return (a * BUCKETS + b) * 24 + c
+
+
+def metadata_of(keys: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(keys), 1 + 2 * BUCKETS + 24))
+    rows = np.arange(len(keys))
+    out[:, 0] = out[rows, 1 + keys // 24 // BUCKETS] = out[rows, 1 + BUCKETS + keys // 24 % BUCKETS] = out[rows, 1 + 2 * BUCKETS + keys % 24] = 1.0
+    return out
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -112,7 +129,133 @@ def _trusted(p: np.ndarray, right: np.ndarray) -> float:
     return float(p[order][np.flatnonzero(good)[-1]]) if good.any() else 2.0
 
 
+@dataclass
+class Round:
+    weights: list[np.ndarray]  # of both views
+    trust: list[tuple[float, float]]  # the least confidence of each view in good and in bad
+
+
+def joined(text: np.ndarray, metadata: np.ndarray, rounds: list[Round]) -> tuple[np.ndarray, np.ndarray]:
+    """(the view that each row was taught to, or -1; its label) after the rounds."""
+    to, label = np.full(len(text), -1), np.zeros(len(text))
+    for r in rounds:
+        for v, x in enumerate((text, metadata)):
+            p = sigmoid(x @ r.weights[v])
+            for value, sure, trust in ((1.0, p, r.trust[v][0]), (0.0, 1 - p, r.trust[v][1])):
+                best = (to < 0) & (sure >= trust)
+                to[best], label[best] = 1 - v, value
+    return to, label
+
+
+def newton_sums(text: np.ndarray, metadata: np.ndarray, rounds: list[Round], w: np.ndarray) -> np.ndarray:
+    """Of the rows taught to the text view, for bad and good ones: number, gradient and Hessian in one row of numbers."""
+    to, label = joined(text, metadata, rounds)
+    out = []
+    for value in (0.0, 1.0):
+        x = text[(to == 0) & (label == value)]
+        p = sigmoid(x @ w)
+        out.append(np.concatenate([[len(x)], x.T @ (p - value), ((x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x).ravel()]))
+    return np.stack(out)
+
+
+def taught_rows(text: np.ndarray, metadata: np.ndarray, rounds: list[Round]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the rows taught to the metadata view: different rows, labels, numbers."""
+    to, label = joined(text, metadata, rounds)
+    both = np.concatenate([metadata, label[:, None]], axis=1)[to == 1]
+    rows, n = np.unique(both, axis=0, return_counts=True)
+    return rows[:, :-1], rows[:, -1], n.astype(float)
+
+
+class LocalPool:
+    def __init__(self, text: np.ndarray, metadata: np.ndarray):
+        self.text, self.metadata = text, metadata
+
+    def newton(self, mean, scale, rounds: list[Round], w: np.ndarray) -> np.ndarray:
+        return newton_sums((self.text - mean) / scale, self.metadata, rounds, w)
+
+    def taught(self, mean, scale, rounds: list[Round]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return taught_rows((self.text - mean) / scale, self.metadata, rounds)
+
+
+class TablePool:
+    """A table of text (doubles as bytes) and key (of the metadata): each call is a pass, with one aggregation."""
+
+    def __init__(self, rows: DataFrame, width: int):
+        self.rows, self.width = rows, width
+
+    def _each(self, of, schema: str) -> DataFrame:
+        width = self.width
+
+        def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    text = np.frombuffer(b"".join(batch.column("text").to_pylist()), float).reshape(-1, width)
+                    yield from of(text, batch.column("key").to_numpy())
+
+        return self.rows.mapInArrow(per_partition, schema)
+
+    def newton(self, mean, scale, rounds: list[Round], w: np.ndarray) -> np.ndarray:
+        size = 1 + self.width + self.width**2
+
+        def of(text, key):
+            sums = newton_sums((text - mean) / scale, metadata_of(key), rounds, w)
+            yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([x.tobytes() for x in sums], pa.binary())], names=["label", "sums"])
+
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2, size))
+            for batch in batches:
+                for k, x in zip(batch.column("label").to_pylist(), batch.column("sums").to_pylist()):
+                    total[k] += np.frombuffer(x)
+            yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([x.tobytes() for x in total], pa.binary())], names=["label", "sums"])
+
+        schema, out = "label int, sums binary", np.zeros((2, size))
+        for r in self._each(of, schema).mapInArrow(added, schema).toLocalIterator():  # two rows from each task
+            out[r.label] += np.frombuffer(r.sums)
+        return out
+
+    def taught(self, mean, scale, rounds: list[Round]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def of(text, key):
+            to, label = joined((text - mean) / scale, metadata_of(key), rounds)
+            rows, n = np.unique((key * 2 + label.astype(np.int64))[to == 1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(n, pa.int64())], names=["row", "n"])
+
+        got = self._each(of, "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).orderBy("row").collect()  # at most 2 * 24 * BUCKETS ** 2
+        rows, n = np.array([r.row for r in got], np.int64), np.array([r.n for r in got], float)
+        return metadata_of(rows // 2), (rows % 2).astype(float), n
+
+
+def _weighed(y: np.ndarray, n: np.ndarray, k: float) -> float:
+    """The weight of one pseudo-label of class k: together at most MAX_WEIGHT times what that class's labelled rows weigh."""
+    return min(1.0, MAX_WEIGHT * float((y == k).sum()) / n) if n else 0.0
+
+
+def _taught_regression(x: np.ndarray, y: np.ndarray, sums, w: np.ndarray, ridge: float = 1.0, steps: int = 30) -> tuple[np.ndarray, int]:
+    """Newton's method over labelled rows and the sums over pseudo-labelled ones, from w on."""
+    d, penalty = x.shape[1], np.full(x.shape[1], ridge)
+    penalty[0] = 1e-3
+    n_taught = 0
+    for _ in range(steps):
+        p = sigmoid(x @ w)
+        gradient = x.T @ (p - y) + penalty * w
+        hessian = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(penalty)
+        far = sums(w)
+        n_taught = int(far[:, 0].sum())
+        for k in (0, 1):
+            weight = _weighed(y, far[k, 0], float(k))
+            gradient += weight * far[k, 1 : 1 + d]
+            hessian += weight * far[k, 1 + d :].reshape(d, d)
+        step = np.linalg.solve(hessian, gradient)
+        w = w - step
+        if np.abs(step).max() < 1e-4:
+            break
+    return w, n_taught
+
+
 def fit(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_metadata: np.ndarray, rounds: int = ROUNDS) -> Model:
+    return fit_with(text, metadata, y, LocalPool(pool_text, pool_metadata), rounds)
+
+
+def fit_with(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool: LocalPool | TablePool, rounds: int = ROUNDS) -> Model:
     """Rows in an order that says nothing about y; every fifth is kept for calibration."""
     mean, scale = text.mean(axis=0), text.std(axis=0)
     mean[0], scale = 0.0, np.where(scale > 1e-9, scale, 1.0)
@@ -120,30 +263,27 @@ def fit(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_text: np.nda
     held = np.zeros(len(y), bool)
     for v in (0, 1):  # of both classes, so that calibration sees both
         held[np.flatnonzero(y == v)[::5]] = True
-    views, pools = [(text - mean) / scale, metadata], [(pool_text - mean) / scale, pool_metadata]
+    views = [(text - mean) / scale, metadata]
     train = ~held if len(set(y[~held])) == 2 else np.ones(len(y), bool)
-    share = y[train].mean()
-    own: list[list[tuple[np.ndarray, np.ndarray]]] = [[(v[train], y[train])] for v in views]
-    free, n_pseudo = np.ones(len(pool_text), bool), 0
-    weights = [regression(*rows[0]) for rows in own]
+    own, known = [v[train] for v in views], y[train]
+    n_pseudo = 0
+    weights = [regression(v, known) for v in own]
+    so_far: list[Round] = []
     for _ in range(rounds):
-        take = int(PER_ROUND * len(pool_text))
-        picked = []
+        trust = []
         for v in (0, 1):
-            p, own_p = sigmoid(pools[v] @ weights[v]), sigmoid(views[v][held] @ weights[v])
-            for label, k in ((1, round(take * share)), (0, round(take * (1 - share)))):
-                trust = _trusted(own_p if label else 1 - own_p, y[held] == label)
-                sure = np.where(free & ((p if label else 1 - p) >= trust), p if label else 1 - p, -1.0)
-                best = np.argsort(-sure, kind="stable")[:k]
-                best = best[sure[best] > 0]
-                free[best] = False
-                picked.append((v, label, best))
-        for v, label, best in picked:
-            own[1 - v].append((pools[1 - v][best], np.full(len(best), float(label))))
-            n_pseudo += len(best)
-        weights = [regression(np.concatenate([x for x, _ in rows]), np.concatenate([t for _, t in rows])) for rows in own]
-        if not any(len(best) for _, _, best in picked):
+            p = sigmoid(views[v][held] @ weights[v])
+            trust.append((_trusted(p, y[held] == 1), _trusted(1 - p, y[held] == 0)))
+        so_far = [*so_far, Round(weights, trust)]
+        now = so_far
+        first, n_text = _taught_regression(own[0], known, lambda w: pool.newton(mean, scale, now, w), weights[0])
+        x, label, n = pool.taught(mean, scale, now)
+        share = np.array([_weighed(known, n[label == k].sum(), k) for k in (0.0, 1.0)])
+        second = regression(np.concatenate([own[1], x.reshape(-1, own[1].shape[1])]), np.concatenate([known, label]), weight=np.concatenate([np.ones(len(known)), n * share[label.astype(int)]]))
+        weights = [first, second]
+        if n_text + int(n.sum()) == n_pseudo:
             break
+        n_pseudo = n_text + int(n.sum())
     use = held if len(set(y[held])) == 2 else np.ones(len(y), bool)
     odds = [v[use] @ w for v, w in zip(views, weights)]
     calibration = tuple(_rising(o, y[use]) for o in odds)
@@ -182,25 +322,39 @@ def _inputs(docs: DataFrame, names: tuple[str, str, str, str]) -> list[Column]:
     return [F.col(quoted(c)).cast(k) if c in docs.columns else F.lit(None).cast(k) for c, k in zip(names, kinds)]
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", names: tuple[str, str, str, str] = ("text", "lang", "source", "n_chars"), max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> Model | float:
-    """A model, or the share of good labels where they are all alike."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", names: tuple[str, str, str, str] = ("text", "lang", "source", "n_chars"), max_labelled: int = MAX_LABELLED, max_pool: int | None = None) -> Model | float:
+    """A model, or the share of good labels where they are all alike. The pool are all unlabelled rows, or max_pool of them."""
     small_batches(docs.sparkSession)
     rank = F.xxhash64(F.lit(99), "id")
     own = labels.select(F.col(quoted(id_col)).cast("long").alias("id"), (F.col(quoted(label_col)) > 0).cast("double").alias("y")).dropna()
     own = own.groupBy("id").agg((F.avg("y") >= 0.5).cast("double").alias("y"))
     chosen = own.orderBy(rank, "id").limit(max_labelled)
-    pool = docs.select(F.col(quoted(id_col)).cast("long").alias("id")).where("id is not null").join(own.select("id"), "id", "left_anti").distinct().orderBy(rank, "id").limit(max_pool)
-    ids = F.broadcast(chosen.unionByName(pool.withColumn("y", F.lit(None).cast("double"))))  # at most max_labelled + max_pool rows
     wide = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), *[c.alias(f"c{i}") for i, c in enumerate(_inputs(docs, names))])
-    rows = wide.join(ids, "id").select("id", "y", _measured(*[F.col(f"c{i}") for i in range(4)]).alias("m"))
+    chosen = F.broadcast(chosen)  # at most max_labelled rows
+    if max_pool is not None:
+        pool = wide.select("id").where("id is not null").join(own.select("id"), "id", "left_anti").distinct().orderBy(rank, "id").limit(max_pool)
+        chosen = F.broadcast(chosen.unionByName(pool.withColumn("y", F.lit(None).cast("double"))))
+    rows = wide.join(chosen, "id").select("id", "y", _measured(*[F.col(f"c{i}") for i in range(4)]).alias("m"))
     got = rows.dropDuplicates(["id"]).orderBy(rank, "id").toPandas()
     known = got[got.y.notna()]
     if known.y.nunique() < 2:
         return float(known.y.mean()) if len(known) else 1.0
-    rest = got[got.y.isna()]
     matrix = lambda rows, k, like: np.array([m[k] for m in rows.m], float).reshape(len(rows), like)
     n_text, n_meta = len(known.m.iloc[0]["text"]), len(known.m.iloc[0]["metadata"])
-    return fit(matrix(known, "text", n_text), matrix(known, "metadata", n_meta), known.y.to_numpy(), matrix(rest, "text", n_text), matrix(rest, "metadata", n_meta))
+    text, metadata, y = matrix(known, "text", n_text), matrix(known, "metadata", n_meta), known.y.to_numpy()
+    if max_pool is not None:
+        rest = got[got.y.isna()]
+        return fit(text, metadata, y, matrix(rest, "text", n_text), matrix(rest, "metadata", n_meta))
+    # measured before the join, so that no text is shuffled for it
+    measured = wide.mapInArrow(_features, "id long, text binary, key long")
+    return fit_with(text, metadata, y, TablePool(written(measured.join(own.select("id"), "id", "left_anti").select("text", "key"), "features"), n_text))
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            text, metadata = _matrices(*[batch.column(f"c{i}") for i in range(4)])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in text], pa.binary()), pa.array(metadata_key(metadata), pa.int64())], names=["id", "text", "key"])
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", names: tuple[str, str, str, str] = ("text", "lang", "source", "n_chars"), columns: list[str] | None = None, threshold: float = THRESHOLD, model: Model | float | None = None) -> DataFrame:

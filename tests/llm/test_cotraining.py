@@ -50,6 +50,21 @@ def test_sample_is_bounded(spark):
     assert seen == {"n": 150, "pool": 70}
 
 
+def test_every_unlabelled_row_can_teach(spark, monkeypatch):
+    documents, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    seen = {}
+    real = C.fit_with
+    monkeypatch.setattr(C, "fit_with", lambda text, metadata, y, pool, rounds=2: seen.update(args=(text, metadata, y), pool=pool) or real(text, metadata, y, pool, rounds))
+    many = documents.unionByName(documents.crossJoin(spark.range(1, 12).withColumnRenamed("id", "k")).selectExpr("doc_id + k * 1000000 AS doc_id", "text", "lang", "source", "n_chars"))
+    model = C.train(many, labels)
+    rows = seen["pool"].rows.collect()
+    assert len(rows) == many.join(labels, "doc_id", "left_anti").count() > 10_000
+    text = np.frombuffer(b"".join(bytes(r.text) for r in rows), float).reshape(len(rows), -1)
+    same = real(*seen["args"], C.LocalPool(text, C.metadata_of(np.array([r.key for r in rows]))), 2)
+    assert model.n_pseudo == same.n_pseudo > 2_500
+    assert np.allclose(model.text, same.text, atol=1e-6) and np.allclose(model.metadata, same.metadata, atol=1e-6)
+
+
 def test_query_covers_the_whole_table(spark):
     out = op5_cotraining(spark, SF)
     ids = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
