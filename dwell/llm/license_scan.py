@@ -6,7 +6,8 @@ around such a word, and only if enough of the template's words stand there at al
 window and the template are aligned: equal words at both ends first, then the words that are unique to both sides are
 anchors, of which the longest increasing subsequence stays, and the gaps between anchors are aligned in the same way;
 gaps without anchors fall back on the longest common subsequence. Coverage is the share of the template's words that
-are aligned. Where found places overlap, the one with more aligned words wins.
+are aligned; the words that tell a licence from its siblings (TELLING) must be among them. Where found places overlap,
+the one with more aligned words wins. What stands behind SPDX-License-Identifier is given in identifier.
 
 Scale: one pass over the texts without a shuffle; the templates are a few kilobytes. Nothing is collected.
 
@@ -18,6 +19,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -28,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwell.llm.common import quoted, small_batches
-from dwell.llm.license_templates import TEMPLATES
+from dwell.llm.license_templates import SIBLINGS, TELLING, TEMPLATES
 
 MIN_COVERAGE = 0.8
 SLACK = 1.5  # a window's words for one of the template
 EDGES = b".,;:!?()[]{}<>\"'`*#/\\|-_=+~"
 #: Function words, which no search starts from.
 FUNCTION_WORDS = frozenset(b"a all an and any are as at be by can for free from if in is it may no not of on or that the this to under use was with you".split())
-SCHEMA = "doc_id long, license_id string, start long, end long, n_aligned long, coverage double"
+SCHEMA = "doc_id long, license_id string, start long, end long, n_aligned long, coverage double, identifier string"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -49,6 +51,7 @@ class Template:
     words: tuple[bytes, ...]
     telling: frozenset[bytes]
     lead: int  # words before the first telling one
+    phrases: tuple[tuple[bytes, ...], ...] = ()  # what tells it from its siblings: all of these must be aligned
 
     @classmethod
     def of(cls, name: str, text: str) -> Template:
@@ -57,7 +60,20 @@ class Template:
         n = sum(w in telling for w in words)
         if len(words) - n >= math.ceil(MIN_COVERAGE * len(words)):
             raise ValueError(f"{name} has too few telling words")
-        return cls(name, words, telling, next(i for i, w in enumerate(words) if w in telling))
+        return cls(name, words, telling, next(i for i, w in enumerate(words) if w in telling), tuple(tuple(words_of(p.encode())) for p in TELLING.get(name, ()) if _within(tuple(words_of(p.encode())), words)))
+
+    def told(self, pairs: list[tuple[int, int]]) -> bool:
+        """Whether each phrase is aligned somewhere, word after word."""
+        at = {j: i for i, j in pairs}
+        for p in self.phrases:
+            starts = (j for j in range(len(self.words) - len(p) + 1) if self.words[j : j + len(p)] == p)
+            if not any(j in at and all(at.get(j + k) == at[j] + k for k in range(len(p))) for j in starts):
+                return False
+        return True
+
+
+def _within(part: tuple[bytes, ...], words: tuple[bytes, ...]) -> bool:
+    return any(words[j : j + len(part)] == part for j in range(len(words) - len(part) + 1))
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -135,9 +151,12 @@ def notices(words: list[bytes], templates: list[Template]) -> list[tuple[str, in
     if not hits:
         return []
     found: list[tuple[str, int, int, int, float]] = []
+    present = Counter(words)
     for t in templates:
         need, span = math.ceil(MIN_COVERAGE * len(t.words)), math.ceil(SLACK * len(t.words)) + 2
         bag = Counter(t.words)
+        if any(w not in present for p in t.phrases for w in p) or sum(min(n, present.get(w, 0)) for w, n in bag.items()) < need:
+            continue
         after = 0
         for h in hits:
             if h < after or words[h] not in t.telling:
@@ -149,7 +168,7 @@ def notices(words: list[bytes], templates: list[Template]) -> list[tuple[str, in
             pairs = align(window, t.words)
             # words far before the rest belong to the text around
             pairs = _dense(pairs, span)
-            if len(pairs) >= need:
+            if len(pairs) >= need and t.told(pairs):
                 first, last = start + pairs[0][0], start + pairs[-1][0] + 1
                 found.append((t.name, first, last, len(pairs), len(pairs) / len(t.words)))
                 after = last
@@ -172,20 +191,38 @@ def _dense(pairs: list[tuple[int, int]], span: int) -> list[tuple[int, int]]:
     return pairs[best[0] : best[1]]
 
 
+#: An SPDX expression: identifiers joined by AND, OR and WITH.
+SPDX = re.compile(rb"\(*[A-Za-z0-9][\w.+:-]*\)*(?:\s+(?:AND|OR|WITH|and|or|with)\s+\(*[A-Za-z0-9][\w.+:-]*\)*)*")
+SPDX_WORDS = 24  # of text that an expression may take
+
+
+def identifier(raw: list[bytes], end: int) -> str | None:
+    """The SPDX expression in the words from end on; none where no identifier stands there."""
+    m = SPDX.match(b" ".join(raw[end : end + SPDX_WORDS]))
+    return m.group().rstrip(b".:").decode("utf-8", "replace") if m else None
+
+
+def _rows_of(doc: int | None, text: bytes, templates: list[Template]) -> Iterator[tuple]:
+    found = notices(words_of(text), templates)
+    raw = text.split() if any(f[0] == "spdx" for f in found) else []
+    for f in found:
+        yield doc, *f, identifier(raw, f[2]) if f[0] == "spdx" else None
+
+
 def _scanned(templates: list[Template]):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(doc, *f) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()) if text for f in notices(words_of(text), templates)]
+            rows = [r for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()) if text for r in _rows_of(doc, text, templates)]
             if rows:
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "license_id", "start", "end", "n_aligned", "coverage"])
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "license_id", "start", "end", "n_aligned", "coverage", "identifier"])
 
     return per_partition
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, license_id, start, end (words, end exclusive), n_aligned, coverage: one row for each notice found."""
+    """doc_id, license_id, start, end (words, end exclusive), n_aligned, coverage, identifier (SPDX): one row for each notice found."""
     small_batches(docs.sparkSession)
-    own = [Template.of(k, v) for k, v in (TEMPLATES if templates is None else templates).items()]
+    own = [Template.of(k, v) for k, v in (TEMPLATES | SIBLINGS if templates is None else templates).items()]
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text"))
     return rows.mapInArrow(_scanned(own), SCHEMA)

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from dwell.llm import license_scan as L
-from dwell.llm.license_templates import TEMPLATES
+from dwell.llm.license_templates import SIBLINGS, TEMPLATES
 from dwell.llm.queries import op4_license_scan
 from tests.conftest import SF
 from tests.llm.common_cases import awkward_rows, docs, prose
@@ -51,6 +51,33 @@ def test_each_template_whole_edited_and_twice(name):
         assert got == name and share >= 0.85 and b - a <= len(w)
 
 
+@pytest.mark.parametrize("name", sorted(SIBLINGS))
+def test_each_sibling_whole_and_edited_outside_its_telling_words(name):
+    rng = random.Random(name)
+    own = [L.Template.of(k, v) for k, v in (TEMPLATES | SIBLINGS).items()]
+    w = SIBLINGS[name].split()
+    kept = set(b" ".join(b" ".join(p) for p in L.Template.of(name, SIBLINGS[name]).phrases).split())
+    free = [i for i, x in enumerate(w) if L.words_of(x.encode())[0] not in kept]
+    for edits in (0, len(w) // 20):
+        for k in rng.sample(free, edits):
+            w[k] = "changed%d" % k
+        ((got, _, _, n, _),) = L.notices(L.words_of(f"{prose(rng, 40)} {' '.join(w)} {prose(rng, 40)}".encode()), own)
+        assert got == name and n >= len(w) - edits - 2
+
+
+def test_siblings_are_told_apart(spark):
+    gnu = lambda name, version: f"This program is free software; you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+    cases = [
+        ("Released under the BSD License.", []), ("released under the new license", []), ("Licensed under CC BY-NC-ND 4.0.", ["cc-by-nc-nd-4.0-line"]),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", ["cc-by-nc-4.0"]),
+        (gnu("GNU General Public License", 2), ["gpl-2.0"]), (gnu("GNU General Public License", 3), ["gpl-3.0"]), (gnu("GNU Affero General Public License", 3), ["agpl-3.0"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["gpl-2.0-line"]), ("SPDX-License-Identifier: (MIT OR Apache-2.0)", ["spdx"]),
+    ]
+    out = L.license_scan(docs(spark, [(i, t) for i, (t, _) in enumerate(cases)])).collect()
+    assert [[r.license_id for r in out if r.doc_id == i] for i in range(len(cases))] == [names for _, names in cases]
+    assert [r.identifier for r in out if r.license_id == "spdx"] == ["(MIT OR Apache-2.0)"]
+
+
 def test_awkward_rows_and_clean_text(spark):
     assert L.license_scan(docs(spark, awkward_rows())).count() == 0
     assert L.license_scan(docs(spark, [])).count() == 0
