@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from dwell.llm.common import SPACE_CLASS, packed, quoted, written
 
-MAX_LABELLED = 4_000
+MAX_LABELLED = 10_000
 WORDS = 128
 MIN_COUNT = 10
 #: Half the G statistic that a word must reach: what chance alone hardly gives to any of a million words.
@@ -91,6 +91,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Naive Bayes over a bounded sample of the labelled rows and a bounded vocabulary."""
     domain = F.concat(*[F.concat(F.lit(c[0]), F.col(quoted(c)).cast("string")) for c in label_cols])
     own = labels.select(F.col(quoted(id_col)).cast("long").alias("id"), domain.alias("domain")).dropna()
+    held = docs.select(F.col(quoted(id_col)).cast("long").alias("id"))  # labels of other documents take no place in the sample
+    own = own.join(held, "id", "left_semi")
     sample = F.broadcast(own.orderBy(F.xxhash64(F.lit(7), "id"), "id", "domain").limit(max_labelled))
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).alias("text")).join(sample, "id")
     # written first: with all of this in one generated method, the loop over words would be too long for the JVM to compile

@@ -68,6 +68,14 @@ def test_awkward_rows(spark):
     assert M.mixing(docs(spark, rows), labels, targets={"unknown": 1.0})[0].count() == len(rows)
 
 
+def test_labels_of_missing_documents_take_no_place_in_the_sample(spark):
+    assert M.MAX_LABELLED == 10_000
+    rows = [(i, "good words here" if i % 2 else "bad words there") for i in range(200)]
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "int(id % 2) AS quality", "0 AS toxic")
+    model = M.train(docs(spark, rows), labels, max_labelled=200)
+    assert model.domains == ["q0t0", "q1t0"] and {"good", "bad"} <= set(model.weights)
+
+
 def test_drawn_copies(spark):
     df = spark.createDataFrame([(i, 2.5) for i in range(4000)] + [(9001, 0.0), (9002, 1.0), (9003, 3.0)], "doc_id long, rate double")
     n = Counter(r.doc_id for r in M.drawn(df, ["doc_id"]).collect())
