@@ -1,7 +1,7 @@
 """Passages that documents share, exactly or nearly, by chaining k-mer seeds and aligning the chains.
 
-1. Seeds. Of a document's 6-word hashes those stay that are least in some window of 10, so any exact run of 15 words
-   that two documents share gives both the same seed.
+1. Seeds. All of a document's 6-word hashes (those that are least in some window of WINDOW, which is 1), so any exact run
+   of 6 words that two documents share gives both the same seed.
 2. Matches. Equal seeds are tied to one occurrence, the first of the smallest document: first within each task's bundle,
    which sends on all positions of that document only, then in blocks of seeds. A seed that very many documents hold is
    thus one document's entries for each bundle, and it makes one match for each place that holds it, never a pair of any two.
@@ -16,7 +16,8 @@ A document's chains that other chains cover wholly are not needed and are left o
 is its source and is named as such; every other holder has rows of its own. A piece's
 source need not hold the whole passage: pieces from several sources may cover it.
 
-Scale: moved are 20 bytes for two of eleven words, 24 bytes for each match, the texts of documents with enough
+Scale: moved are 20 bytes for each word and 24 for each match, before compression, byte by byte of their place (first
+bytes, second bytes ...) so that those of documents and positions shrink, the texts of documents with enough
 matched words and of their sources, and of the former once more the words about each chain. A task holds one bundle, one block, or one document's matches.
 
 Edge cases: null and empty texts and texts under 6 words share nothing; rows without an id are left out, as no result
@@ -37,15 +38,15 @@ from dwell.llm.common import partitions, quoted, small_batches, written
 from dwell.llm.word_hash import ngram_hashes, words_of
 
 K = 6
-WINDOW = 10
+WINDOW = 1  # every seed stays
 MIN_WORDS = 50
 MAX_GAP = 30
 MIN_CHAIN = 2 * K
-REACH = K + WINDOW - 2  # words beside a chain that may match though no seed shows it
+REACH = 14  # words beside a chain that may match though no seed shows it
 PAD = 4 * REACH  # words beside a chain that an extension may go through
 GAP_COST = 0.2
 DROP = 6  # an extension ends when its score is so far below its best
-BLOCKS_PER_PARTITION = 2
+BLOCKS_PER_PARTITION = 10
 FLUSH = 1 << 19
 BROADCAST_ROWS = 500_000
 
@@ -72,6 +73,16 @@ def minimizers(h: np.ndarray, w: int = WINDOW) -> np.ndarray:
     return np.flatnonzero(_least(np.concatenate([pad, least, pad]), w, np.maximum) == h)
 
 
+def _planes(rows: np.ndarray) -> bytes:
+    """Rows in order of document and position, as the first bytes of all, the second bytes of all and so on."""
+    rows = np.ascontiguousarray(rows[np.lexsort((rows["pos"], rows["doc"]))])
+    return rows.view(np.uint8).reshape(-1, rows.dtype.itemsize).T.tobytes()
+
+
+def _rows(planes: bytes, kind: np.dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 def _bundled(rows: np.ndarray, block: np.ndarray, kind: int) -> Iterator[pa.RecordBatch]:
     order = np.argsort(block, kind="stable")
     rows, block = rows[order], block[order]
@@ -79,7 +90,7 @@ def _bundled(rows: np.ndarray, block: np.ndarray, kind: int) -> Iterator[pa.Reco
     part = [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
     for i in range(0, len(part), 256):
         own = part[i : i + 256]
-        yield pa.RecordBatch.from_arrays([pa.array([kind] * len(own), pa.int32()), pa.array([int(block[a]) for a, _ in own], pa.int32()), pa.array([rows[a:b].tobytes() for a, b in own], pa.binary())], names=["kind", "block", "a"])
+        yield pa.RecordBatch.from_arrays([pa.array([kind] * len(own), pa.int32()), pa.array([int(block[a]) for a, _ in own], pa.int32()), pa.array([_planes(rows[a:b]) for a, b in own], pa.binary())], names=["kind", "block", "a"])
 
 
 def tied(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,12 +145,12 @@ def _grouped(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.n
     for batch in batches:
         for b, a in zip(batch.column("block").to_pylist(), batch.column("a").to_pylist()):
             if b != block and held:
-                yield np.frombuffer(b"".join(held), kind)
+                yield np.concatenate(held)
                 held = []
             block = b
-            held.append(a)
+            held.append(_rows(a, kind))
     if held:
-        yield np.frombuffer(b"".join(held), kind)
+        yield np.concatenate(held)
 
 
 def _matched(n_blocks: int):
@@ -329,6 +340,20 @@ def equal_in_gap(x: list[bytes], y: list[bytes]) -> int:
     return row[-1]
 
 
+def equal_along(x: list[bytes], y: list[bytes]) -> int:
+    """Equal words of two stretches on one diagonal; what lies between runs of K is aligned, as words may be shifted there."""
+    total = last = k = 0
+    while k < len(x):
+        start = k
+        while k < len(x) and x[k] == y[k]:
+            k += 1
+        if k - start >= K:
+            total += equal_in_gap(x[last:start], y[last:start]) + k - start
+            last = k
+        k += k == start
+    return total + equal_in_gap(x[last:], y[last:])
+
+
 def extended(x: list[bytes], y: list[bytes], i: int, j: int, step: int) -> tuple[int, int]:
     """How far, and with how many equal words, two texts agree from (i, j) on in the direction of step."""
     score = best = length = equal = 0
@@ -357,7 +382,7 @@ def aligned(x: list[bytes], y: list[bytes], parts: np.ndarray) -> list[tuple[int
         p, q, size = own["pos"].tolist(), own["at"].tolist(), own["size"].tolist()
         if p[-1] + size[-1] > len(x) or q[-1] + size[-1] > len(y) or x[p[0]] != y[q[0]]:
             continue  # another row of this id holds it
-        equal = sum(a == b for i, j, n in zip(p, q, size) for a, b in zip(x[i : i + n], y[j : j + n]))
+        equal = sum(equal_along(x[i : i + n], y[j : j + n]) for i, j, n in zip(p, q, size))
         for k in range(1, len(p)):
             equal += equal_in_gap(x[p[k - 1] + size[k - 1] : p[k]], y[q[k - 1] + size[k - 1] : q[k]])
         left, left_equal = extended(x, y, p[0] - 1, q[0] - 1, -1)

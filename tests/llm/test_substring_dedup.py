@@ -72,6 +72,19 @@ def test_a_passage_held_twice_whatever_the_partitions(spark):
             assert got == places[i], (n, i, got)
 
 
+def replaced(rng, w, rate):
+    return ["new%d" % rng.randrange(10**9) if rng.random() < rate else x for x in w]
+
+
+def test_edited_passages_just_over_the_limit(spark):
+    rng, rows = random.Random(12), []
+    for i in range(100):
+        passage = prose(rng, 60).split()
+        rows += [(2 * i + k, " ".join(prose(rng, 30).split() + replaced(rng, passage, 0.1 * k) + prose(rng, 30).split())) for k in (0, 1)]
+    found = {r.doc_id for r in S.substring_dedup(docs(spark, rows)).collect()}
+    assert len(found) >= 93
+
+
 def test_the_shuffled_way_and_clashing_names(spark, monkeypatch):
     monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
     rows, places = planted(7, 5, 0)
