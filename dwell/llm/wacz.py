@@ -4,7 +4,8 @@ An archive is a ZIP file whose members are stored, not deflated: archive/data.wa
 WARC record, indexes/index.cdx one line for each record with its offset and length there, and datapackage.json names
 both. The writer streams; the reader takes the file's tail for the end record, follows the ZIP64 locator and end record
 where sizes or counts overflow, parses the central directory, finds each stored member's data behind its local header,
-and then reads single records by their offsets.
+and then reads single records by their offsets. Packages of other writers may hold several archive members and indexes
+in CDX or CDXJ form, gzipped or not. Whatever is damaged or cut short raises ValueError.
 
 Of records with equal payloads the one with the smallest page id is a response, the others are revisits that refer to
 it and hold no payload. Payloads are equal when SHA-1, SHA-256 and length are. The digests combine on the map side; the
@@ -29,6 +30,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -39,6 +41,11 @@ from dwell.llm.common import filesystem, new_folder, partitions, quoted, small_b
 ARCHIVE_RECORDS = 200_000
 ARCHIVE_BYTES = 1 << 30
 SLICE = 4096
+PIECE = 1 << 20
+#: Repeated payloads up to which their digests are broadcast (40 bytes each); beyond, pages are joined by shuffle.
+BROADCAST_ROWS = 200_000
+ARCHIVES = r"archive/[^/]+\.warc(\.gz)?"
+INDEXES = r"indexes/[^/]+\.cdxj?(\.gz)?"
 MEMBER = "archive/data.warc.gz"
 INDEX = "indexes/index.cdx"
 PACKAGE = "datapackage.json"
@@ -122,6 +129,8 @@ class ZipReader:
         self.members = {m[0]: m[1:] for m in self._directory(self.read(start, size), n)}
 
     def read(self, at: int, n: int) -> bytes:
+        if not 0 <= at <= at + n <= self.size:
+            raise ValueError("the archive is cut short")
         self.file.seek(at)
         data = self.file.read(n)
         if len(data) != n:
@@ -132,8 +141,8 @@ class ZipReader:
         base = max(0, self.size - self.TAIL)
         tail = self.read(base, self.size - base)
         at = tail.rfind(END)
-        while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] > len(tail):
-            at = tail.rfind(END, 0, at)  # these four bytes stood in the comment
+        while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] > len(tail)):
+            at = tail.rfind(END, 0, at)  # these four bytes stood in the comment, or the record is cut short
         if at < 0:
             raise ValueError("no end of central directory: not a ZIP file")
         n, size, start = struct.unpack_from("<H2I", tail, at + 10)
@@ -150,28 +159,39 @@ class ZipReader:
     def _directory(data: bytes, n: int) -> Iterator[tuple[str, int, int, int]]:
         at = 0
         for _ in range(n):
-            if data[at : at + 4] != CENTRAL:
+            if data[at : at + 4] != CENTRAL or at + 46 > len(data):
                 raise ValueError("the central directory is damaged")
             flags, method = struct.unpack_from("<2H", data, at + 8)
             packed_, plain, n_name, n_extra, n_comment = struct.unpack_from("<2I3H", data, at + 20)
             (local,) = struct.unpack_from("<I", data, at + 42)
-            name = data[at + 46 : at + 46 + n_name].decode("utf-8" if flags & 1 << 11 else "cp437")
-            extra, x = data[at + 46 + n_name : at + 46 + n_name + n_extra], 0
-            while x + 4 <= len(extra):
-                tag, length = struct.unpack_from("<2H", extra, x)
-                if tag == 1:  # holds, in this order, those that overflow
-                    y = x + 4
-                    if plain == MOST32:
-                        plain, y = struct.unpack_from("<Q", extra, y)[0], y + 8
-                    if packed_ == MOST32:
-                        packed_, y = struct.unpack_from("<Q", extra, y)[0], y + 8
-                    if local == MOST32:
-                        local = struct.unpack_from("<Q", extra, y)[0]
-                x += 4 + length
-            yield name, method, packed_, local
+            name, extra = data[at + 46 : at + 46 + n_name], data[at + 46 + n_name : at + 46 + n_name + n_extra]
             at += 46 + n_name + n_extra + n_comment
+            if at > len(data):
+                raise ValueError("the central directory is damaged")
+            try:
+                text = name.decode("utf-8" if flags & 1 << 11 else "cp437")
+            except UnicodeDecodeError as e:
+                raise ValueError("a member's name is damaged") from e
+            wide = [x for x, v in (("plain", plain), ("packed", packed_), ("local", local)) if v == MOST32]
+            long = ZipReader._wide(extra, wide) if wide else {}
+            yield text, method, long.get("packed", packed_), long.get("local", local)
+
+    @staticmethod
+    def _wide(extra: bytes, names: list[str]) -> dict[str, int]:
+        """The ZIP64 field holds, in this order, those that overflow; without it the 32-bit values stand as they are."""
+        x = 0
+        while x + 4 <= len(extra):
+            tag, length = struct.unpack_from("<2H", extra, x)
+            if tag == 1:
+                if length < 8 * len(names) or x + 4 + 8 * len(names) > len(extra):
+                    raise ValueError("a ZIP64 field is damaged")
+                return dict(zip(names, struct.unpack_from(f"<{len(names)}Q", extra, x + 4)))
+            x += 4 + length
+        return {}
 
     def stored(self, name: str) -> Stored:
+        if name not in self.members:
+            raise ValueError(f"the package has no member {name}")
         method, size, local = self.members[name]
         if method:
             raise ValueError(f"{name} is not stored but compressed by method {method}")
@@ -179,7 +199,10 @@ class ZipReader:
         if head[:4] != LOCAL:
             raise ValueError(f"{name} has no local header")
         n_name, n_extra = struct.unpack_from("<2H", head, 26)
-        return Stored(name, local + 30 + n_name + n_extra, size)
+        start = local + 30 + n_name + n_extra
+        if start + size > self.size:
+            raise ValueError(f"{name} is cut short")
+        return Stored(name, start, size)
 
     def names(self, pattern: str) -> list[str]:
         return sorted(n for n in self.members if re.fullmatch(pattern, n))
@@ -214,14 +237,14 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
     """Fields (lower-case names) and block of one record."""
     head, _, rest = data.partition(b"\r\n\r\n")
-    first, *lines = head.decode().split("\r\n")
+    first, *lines = head.decode("utf-8", "replace").split("\r\n")
     if not first.startswith("WARC/"):
         raise ValueError("not a WARC record")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    n = int(fields["content-length"])
-    if rest[n:] != b"\r\n\r\n":
+    length = fields.get("content-length", "")
+    if not length.isascii() or not length.isdigit() or rest[int(length) :] != b"\r\n\r\n":
         raise ValueError("a WARC record's length is wrong")
-    return fields, rest[:n]
+    return fields, rest[: int(length)]
 
 
 def gzipped(data: bytes) -> bytes:
@@ -285,21 +308,107 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     wide = rows.withColumn("key", F.struct("sha1", F.sha2("payload", 256).alias("sha2"), F.length("payload").alias("n"))).withColumn("key", F.unhex(F.sha2(F.concat_ws(" ", "key.sha1", "key.sha2", F.col("key.n").cast("string")), 256)))
     # only payloads that repeat need a winner; where every copy lacks an id there is none
     again = wide.where(F.length("payload") >= min_bytes).groupBy("key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col("first").isNotNull()).select("key", "first")
-    met = wide.join(again, "key", "left").select("page_id", "url", "payload", "sha1", "first")
+    again = written(again, "repeated")
+    # payloads are shuffled only where more of them repeat than may be broadcast
+    few = again.count() <= BROADCAST_ROWS
+    met = wide.join(F.broadcast(again) if few else again, "key", "left").select("page_id", "url", "payload", "sha1", "first")
     return written(met.mapInArrow(_archived(folder), "uri string, n_records long"), "archives")
 
 
-def _records(reader: ZipReader, first: int, n: int) -> Iterator[bytes]:
-    """n records from the first-th of the package, each by a read of its own range."""
-    (data,) = [reader.stored(x) for x in reader.names(r"archive/[^/]+\.warc\.gz")]
-    (index,) = [reader.stored(x) for x in reader.names(r"indexes/[^/]+\.cdx")]
-    lines = reader.read(index.start, index.size).split(b"\n")[first : first + n]
-    for line in lines:
-        if line:
-            _, at, size, _, _ = line.split(b" ")
-            if int(at) + int(size) > data.size:
+def _lines(reader: ZipReader, index: Stored) -> Iterator[bytes]:
+    """Lines of an index member, plain or of gzip members, read in pieces."""
+    gz = index.name.endswith(".gz")
+    z, rest = zlib.decompressobj(31), b""
+    for at in range(0, index.size, PIECE):
+        data = reader.read(index.start + at, min(PIECE, index.size - at))
+        while data:
+            out, data = data, b""
+            if gz:
+                try:
+                    out = z.decompress(out)
+                except zlib.error as e:
+                    raise ValueError(f"{index.name} is damaged") from e
+                data = z.unused_data
+                if z.eof:
+                    z = zlib.decompressobj(31)
+            *lines, rest = (rest + out).split(b"\n")
+            yield from lines
+    if rest:
+        yield rest
+
+
+def _located(line: bytes, only: str | None) -> tuple[str, int, int] | None:
+    """Member, offset and length that an index line names: CDXJ, CDX of 11 fields, or this module's own five fields."""
+    line = line.strip()
+    if not line or line[:1] == b"!" or line.startswith(b"CDX "):
+        return None
+    try:
+        if b"{" in line:
+            f = json.loads(line[line.index(b"{") :])
+            return f.get("filename") or only, int(f["offset"]), int(f["length"])
+        f = line.decode().split(" ")
+        if len(f) == 11:
+            return f[10], int(f[9]), int(f[8])
+        return only, int(f[-4]), int(f[-3])
+    except (ValueError, KeyError, IndexError, TypeError) as e:
+        raise ValueError(f"the index line {line[:80]!r} cannot be read") from e
+
+
+def locators(reader: ZipReader) -> Iterator[tuple[str, int, int]]:
+    """(archive member, offset, length) of every record that the package's indexes name."""
+    members = {n.rsplit("/", 1)[-1]: reader.stored(n) for n in reader.names(ARCHIVES)}
+    indexes = reader.names(INDEXES)
+    if members and not indexes:
+        raise ValueError("the package has no index")
+    only = next(iter(members)) if len(members) == 1 else None
+    for name in indexes:
+        for line in _lines(reader, reader.stored(name)):
+            found = _located(line, only)
+            if found is None:
+                continue
+            base, at, size = (found[0] or "").rsplit("/", 1)[-1], found[1], found[2]
+            if base not in members:
+                raise ValueError(f"the index names an archive member that is not there: {found[0]}")
+            if at < 0 or size <= 0 or at + size > members[base].size:
                 raise ValueError("the index points beyond the archive member")
-            yield zlib.decompress(reader.read(data.start + int(at), int(size)), 31)
+            yield members[base].name, at, size
+
+
+def _sliced(slice_records: int):
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each package's directories and indexes are read once; its records are dealt out by their places."""
+        for b in batches:
+            for uri in b.column("uri").to_pylist():
+                files, path = filesystem(uri)
+                with files.open_input_file(path) as f:
+                    held: dict[str, list[tuple[int, int]]] = {}
+                    for member, at, size in locators(ZipReader(f)):
+                        own = held.setdefault(member, [])
+                        own.append((at, size))
+                        if len(own) == slice_records:
+                            yield _slice(uri, member, held.pop(member))
+                    for member, own in held.items():
+                        yield _slice(uri, member, own)
+
+    return per_partition
+
+
+def _slice(uri: str, member: str, places: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([member]), pa.array([places[0][0]], pa.int64()), pa.array([np.array(places, "<i8").tobytes()], pa.binary())], names=["uri", "member", "first", "places"])
+
+
+def _record(reader: ZipReader, data: Stored, at: int, size: int) -> bytes:
+    """One record, by a read of its own range."""
+    if not data.name.endswith(".gz"):
+        return reader.read(data.start + at, size)
+    z = zlib.decompressobj(31)
+    try:
+        out = z.decompress(reader.read(data.start + at, size))
+    except zlib.error as e:
+        raise ValueError(f"the record at {at} of {data.name} is damaged") from e
+    if not z.eof:
+        raise ValueError(f"the record at {at} of {data.name} is cut short")
+    return out
 
 
 READ_SCHEMA = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string"
@@ -308,37 +417,46 @@ READ_SCHEMA = "page_id long, url string, payload binary, payload_bytes long, pay
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string())])
     for b in batches:
-        for uri, first, n in zip(*(c.to_pylist() for c in b.columns)):
+        for uri, member, _, places in zip(*(c.to_pylist() for c in b.columns)):
             files, path = filesystem(uri)
             with files.open_input_file(path) as f:
+                reader = ZipReader(f)
+                data = reader.stored(member)
                 rows: list[tuple] = []
-                for data in _records(ZipReader(f), first, n):
-                    rows.append(_row(data))
-                    if len(rows) == 256:
+                size = 0
+                for at, n in np.frombuffer(places, "<i8").reshape(-1, 2).tolist():
+                    rows.append(_row(_record(reader, data, at, n)))
+                    size += n
+                    if len(rows) == 256 or size > 4 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows), kind)], schema=kind)
-                        rows = []
+                        rows, size = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows), kind)], schema=kind)
 
 
 def _row(data: bytes) -> tuple:
+    """A response or revisit of any writer: what this module's own fields do not say is null, or taken from the block."""
     fields, block = parsed(data)
     head, _, payload = block.partition(b"\r\n\r\n")
-    n = int(re.search(rb"(?im)^content-length:\s*(\d+)", head)[1])
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    revisit = fields["warc-type"] == "revisit"
-    if not revisit and (len(payload) != n or sha1_32(payload) != digest):
-        raise ValueError(f"the payload of {fields['warc-record-id']} is damaged")
-    page, refers = fields["x-page-id"], fields.get("x-refers-to-page-id")
-    return int(page) if page else None, fields["warc-target-uri"], None if revisit else payload, n, digest, fields["warc-type"], int(refers) if refers else None, fields["warc-record-id"]
+    revisit = fields.get("warc-type") == "revisit"
+    length = re.search(rb"(?im)^content-length:\s*(\d+)", head)
+    if not revisit and length is not None and len(payload) != int(length[1]):
+        raise ValueError(f"the payload of {fields.get('warc-record-id')} is damaged")
+    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or (None if revisit else sha1_32(payload))
+    if not revisit and sha1_32(payload) != digest:
+        raise ValueError(f"the payload of {fields.get('warc-record-id')} is damaged")
+    n = len(payload) if not revisit else int(length[1]) if length is not None else None
+    page, refers = fields.get("x-page-id"), fields.get("x-refers-to-page-id")
+    return int(page) if page else None, fields.get("warc-target-uri"), None if revisit else payload, n, digest, fields.get("warc-type"), int(refers) if refers else None, fields.get("warc-record-id")
 
 
 def read_archives(archives: DataFrame, slice_records: int = SLICE) -> DataFrame:
-    """One row for each record of the archives in the table (uri, n_records). A revisit has no payload of its own."""
+    """One row for each record of the packages in the table (uri). A revisit has no payload of its own."""
     spark = archives.sparkSession
-    slices = archives.where("n_records > 0").select("uri", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_records") - 1, F.lit(slice_records).cast("long"))).alias("first"), F.lit(slice_records).cast("long").alias("n"))
     small_batches(spark)
-    return slices.repartition(partitions(spark), "uri", "first").mapInArrow(_read, READ_SCHEMA)
+    n = partitions(spark)
+    slices = written(archives.select("uri").repartition(n, "uri").mapInArrow(_sliced(slice_records), "uri string, member string, first long, places binary"), "slices")
+    return slices.repartition(n, "uri", "member", "first").mapInArrow(_read, READ_SCHEMA)
 
 
 def warc_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> DataFrame:

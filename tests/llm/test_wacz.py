@@ -111,6 +111,62 @@ def test_other_writers_comments_and_damage():
         W.parsed(W.record(1, "u", b"x", "d", None, False)[:-1])
 
 
+def package(zip64=False):
+    """A small package as bytes, in the form that archives have."""
+    out = io.BytesIO()
+    z = W.StoredZip(out, zip64)
+    data = W.gzipped(W.record(1, "http://a/", b"payload", W.sha1_32(b"payload"), None, False))
+    z.add(W.MEMBER, data)
+    z.add(W.INDEX, b"1 0 %d %s response\n" % (len(data), W.sha1_32(b"payload").encode()))
+    z.close()
+    return out.getvalue()
+
+
+def read_all(data):
+    r = of(data)
+    return [W._row(W._record(r, r.stored(m), at, n)) for m, at, n in W.locators(r)]
+
+
+@pytest.mark.parametrize("zip64", [False, True])
+def test_every_truncation_and_flipped_bit_is_a_value_error_or_harmless(zip64):
+    good = package(zip64)
+    want = read_all(good)
+    assert [(r[0], r[2]) for r in want] == [(1, b"payload")]
+    for n in range(len(good)):
+        with pytest.raises(ValueError):
+            read_all(good[:n])
+    for i in range(len(good)):
+        for bit in range(8):
+            bad = bytearray(good)
+            bad[i] ^= 1 << bit
+            try:
+                read_all(bytes(bad))  # some bits say nothing of the records: dates, versions, counts of disks
+            except ValueError:
+                pass
+
+
+def test_a_package_of_another_writer(spark, tmp_path):
+    """Two archive members, a CDXJ index in two gzip members, a CDX index, deflated pages, and records without own fields."""
+    rec = lambda url, body: ("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: %s\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n" % (url, len(body) + 19)).encode() + b"HTTP/1.1 200 OK\r\n\r\n" + body + b"\r\n\r\n"
+    a, b, c = (W.gzipped(rec(f"http://{x}/", x.encode() * 9)) for x in "abc")
+    line = lambda name, at, n: ('com,x)/ 20240101 {"url": "http://x/", "filename": "%s", "offset": "%d", "length": "%d"}\n' % (name, at, n)).encode()
+    with zipfile.ZipFile(tmp_path / "other.wacz", "w") as z:
+        z.writestr("archive/one.warc.gz", a + b)
+        z.writestr("archive/two.warc.gz", c)
+        z.writestr("indexes/index.cdxj.gz", W.gzipped(b'!meta {"format": "cdxj"}\n' + line("one.warc.gz", 0, len(a))) + W.gzipped(line("one.warc.gz", len(a), len(b))))
+        z.writestr("indexes/more.cdx", b" CDX N b a m s k r M S V g\ncom,c)/ 20240101 http://c/ text/html 200 X - - %d 0 two.warc.gz" % len(c))
+        z.writestr("pages/pages.jsonl", b"{}" * 99, zipfile.ZIP_DEFLATED)
+    table = spark.createDataFrame([(f"file://{tmp_path}/other.wacz",)], "uri string")
+    rows = sorted((r.url, bytes(r.payload), r.payload_bytes, r.page_id) for r in W.read_archives(table).collect())
+    assert rows == [("http://a/", b"a" * 9, 9, None), ("http://b/", b"b" * 9, 9, None), ("http://c/", b"c" * 9, 9, None)]
+
+
+def test_clashing_names_and_the_shuffled_way(spark, monkeypatch):
+    monkeypatch.setattr(W, "BROADCAST_ROWS", 0)
+    df = spark.createDataFrame([(*r, "k", 1, b"x") for r in ROWS], "page_id long, url string, html string, key string, first int, payload binary")
+    assert got(W.warc_round_trip(df)) == brute(ROWS)
+
+
 def test_query_over_the_whole_table(spark):
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
     assert got(op6_warc(spark, SF)) == brute(rows)
