@@ -1,18 +1,23 @@
 """Quality by co-training: a text view and a metadata view teach each other, then both score all documents.
 
 The labelled documents are sampled: those with the smallest hash of their id, at most MAX_LABELLED rows of a few dozen
-numbers. The unlabelled ones all take part: their features are written once (about 220 bytes a document), and each round
+numbers. The unlabelled ones all take part: their features are written once (about 360 bytes a document), and each round
 both classifiers (logistic regressions with ridge penalty) label every one of them that they have not labelled yet;
 what is as confident as proves right on held-out rows joins the other view's training set. Which rows have joined
 follows from the rounds' weights and least confidences, so a pass over the features finds it anew and nothing is kept by row.
-Newton's method takes its gradient and Hessian from such passes, a few hundred numbers from each task; the metadata view, whose
+Newton's method takes its gradient and Hessian from such passes, a few thousand numbers from each task; the metadata view, whose
 rows are few different ones, from the numbers of each. All pseudo-labels of a class together weigh at most MAX_WEIGHT
-times as much as its labelled rows, whatever the table's size. A part of the labelled rows stays out of training: on it
-each view's log odds are calibrated, and the views are combined by a logistic regression over the calibrated log odds.
-Scoring is one pass over the documents in an Arrow UDF with the two weight vectors; nothing is shuffled.
+times as much as its labelled rows, whatever the table's size.
 
-The text view measures the text alone (shares of symbols, capitals, repeated words, word lengths ...); the metadata view
-knows language, source and length only, by hashed indicators.
+What a view says of labelled rows is cross-fitted: for each of FOLDS parts of them the weights are fitted anew without
+that part (the pseudo-labelled rows enter there by their gradient and Hessian at the common weights). On these log odds
+of all labelled rows rest the least confidences, the calibration of each view, and the logistic regression over the
+calibrated log odds that combines the views. Scoring is one pass over the documents in an Arrow UDF with the two weight
+vectors; nothing is shuffled.
+
+The text view knows the text alone: its words, as the shares that fall into WORD_BUCKETS hash buckets, and measures
+(symbols, capitals, repeated words, word lengths ...). The metadata view knows language, source and length only, by
+hashed indicators.
 
 Edge cases: null and empty texts are measured as no words; null metadata have an indicator of their own; labels that are
 null are ignored, of several for a document the majority counts, and a tie counts as good; without labels of both
@@ -34,6 +39,7 @@ from pyspark.sql import functions as F
 
 from dwell.llm.common import quoted, small_batches, written
 from dwell.llm.quality_rules import measure
+from dwell.llm.word_hash import ngram_hashes
 
 MAX_LABELLED = 10_000
 ROUNDS = 5
@@ -42,6 +48,8 @@ PRECISION = 0.98
 MIN_TRUST = 8
 THRESHOLD = 0.5
 BUCKETS = 64
+WORD_BUCKETS = 64
+FOLDS = 5
 OUTPUTS = ("text_score", "metadata_score", "score", "kept")
 
 
@@ -53,6 +61,15 @@ def text_features(text: str) -> list[float]:
     return [1.0, *shares, *(np.sqrt(s) for s in shares), np.log1p(n), c / w, (c / w) ** 2 / 10, n / x / 20, float(n < 50), float(n == 0)]
 
 
+def word_features(texts: list[str]) -> np.ndarray:
+    """Roots of the shares of a text's words in each hash bucket."""
+    out = np.zeros((len(texts), WORD_BUCKETS), np.float32)
+    for row, (n, h) in zip(out, ngram_hashes([x.encode() for x in texts], 1)):
+        if n:
+            row[:] = np.sqrt(np.bincount((h % np.uint64(WORD_BUCKETS)).astype(np.int64), minlength=WORD_BUCKETS) / n)
+    return out
+
+
 def metadata_features(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
     out = np.zeros(1 + 2 * BUCKETS + 24)
     out[0] = 1.0
@@ -122,13 +139,52 @@ def _rising(odds: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _trusted(p: np.ndarray, right: np.ndarray) -> float:
-    """The least confidence from which on PRECISION of the rows held out are right, or more than 1: a weak view teaches nothing."""
+    """The least confidence from which on PRECISION of the cross-fitted rows are right, or more than 1: a weak view teaches nothing."""
     order = np.argsort(-p, kind="stable")
     good = np.cumsum(right[order]) >= PRECISION * np.arange(1, len(p) + 1)
     good[: min(MIN_TRUST, len(p)) - 1] = False
     return float(p[order][np.flatnonzero(good)[-1]]) if good.any() else 2.0
 
 
+def folds_of(y: np.ndarray) -> np.ndarray:
+    """The part of each labelled row: of both classes every FOLDS-th, in the order of the rows."""
+    out = np.zeros(len(y), int)
+    for v in (0, 1):
+        at = np.flatnonzero(y == v)
+        out[at] = np.arange(len(at)) % FOLDS
+    return out
+
+
+@dataclass
+class Taught:
+    """A view after a round: its weights, and gradient and Hessian of what the pseudo-labelled rows add there."""
+
+    weights: np.ndarray
+    gradient: np.ndarray
+    hessian: np.ndarray
+    n: int = 0
+
+    def odds(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 8) -> np.ndarray:
+        """Cross-fitted log odds of labelled rows. A part without which a class is missing has those of the common weights."""
+        penalty, fold, out = np.full(x.shape[1], ridge), folds_of(y), x @ self.weights
+        penalty[0] = 1e-3
+        for f in range(FOLDS):
+            own, rest = fold == f, fold != f
+            if not own.any() or len(set(y[rest])) < 2:
+                continue
+            w = self.weights
+            for _ in range(steps):
+                p = sigmoid(x[rest] @ w)
+                gradient = x[rest].T @ (p - y[rest]) + penalty * w + self.gradient + self.hessian @ (w - self.weights)
+                hessian = (x[rest] * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x[rest] + np.diag(penalty) + self.hessian
+                step = np.linalg.solve(hessian, gradient)
+                w = w - step
+                if np.abs(step).max() < 1e-4:
+                    break
+            out[own] = x[own] @ w
+        return out
+
+
 @dataclass
 class Round:
     weights: list[np.ndarray]  # of both views
@@ -178,7 +234,7 @@ class LocalPool:
 
 
 class TablePool:
-    """A table of text (doubles as bytes) and key (of the metadata): each call is a pass, with one aggregation."""
+    """A table of text (floats as bytes) and key (of the metadata): each call is a pass, with one aggregation."""
 
     def __init__(self, rows: DataFrame, width: int):
         self.rows, self.width = rows, width
@@ -189,7 +245,7 @@ class TablePool:
         def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    text = np.frombuffer(b"".join(batch.column("text").to_pylist()), float).reshape(-1, width)
+                    text = np.frombuffer(b"".join(batch.column("text").to_pylist()), np.float32).reshape(-1, width).astype(float)
                     yield from of(text, batch.column("key").to_numpy())
 
         return self.rows.mapInArrow(per_partition, schema)
@@ -229,26 +285,33 @@ def _weighed(y: np.ndarray, n: np.ndarray, k: float) -> float:
     return min(1.0, MAX_WEIGHT * float((y == k).sum()) / n) if n else 0.0
 
 
-def _taught_regression(x: np.ndarray, y: np.ndarray, sums, w: np.ndarray, ridge: float = 1.0, steps: int = 30) -> tuple[np.ndarray, int]:
+def _taught_regression(x: np.ndarray, y: np.ndarray, sums, w: np.ndarray, ridge: float = 1.0, steps: int = 30) -> Taught:
     """Newton's method over labelled rows and the sums over pseudo-labelled ones, from w on."""
     d, penalty = x.shape[1], np.full(x.shape[1], ridge)
     penalty[0] = 1e-3
-    n_taught = 0
     for _ in range(steps):
         p = sigmoid(x @ w)
-        gradient = x.T @ (p - y) + penalty * w
-        hessian = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(penalty)
         far = sums(w)
-        n_taught = int(far[:, 0].sum())
-        for k in (0, 1):
-            weight = _weighed(y, far[k, 0], float(k))
-            gradient += weight * far[k, 1 : 1 + d]
-            hessian += weight * far[k, 1 + d :].reshape(d, d)
-        step = np.linalg.solve(hessian, gradient)
-        w = w - step
+        share = [_weighed(y, far[k, 0], float(k)) for k in (0, 1)]
+        more, curve = (sum(share[k] * far[k, a:b] for k in (0, 1)) for a, b in ((1, 1 + d), (1 + d, None)))
+        curve = curve.reshape(d, d)
+        hessian = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(penalty) + curve
+        step = np.linalg.solve(hessian, x.T @ (p - y) + penalty * w + more)
+        taught = Taught(w - step, more - curve @ step, curve, int(far[:, 0].sum()))
+        w = taught.weights
         if np.abs(step).max() < 1e-4:
             break
-    return w, n_taught
+    return taught
+
+
+def _taught_rows_regression(x: np.ndarray, y: np.ndarray, rows: np.ndarray, label: np.ndarray, n: np.ndarray) -> Taught:
+    """The same where the pseudo-labelled rows are at hand: different rows, labels and numbers."""
+    rows = rows.reshape(-1, x.shape[1])
+    share = np.array([_weighed(y, n[label == k].sum(), k) for k in (0.0, 1.0)])
+    weight = n * share[label.astype(int)]
+    w = regression(np.concatenate([x, rows]), np.concatenate([y, label]), weight=np.concatenate([np.ones(len(y)), weight]))
+    p = sigmoid(rows @ w)
+    return Taught(w, rows.T @ (weight * (p - label)), (rows * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ rows, int(n.sum()))
 
 
 def fit(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_metadata: np.ndarray, rounds: int = ROUNDS) -> Model:
@@ -256,44 +319,31 @@ def fit(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_text: np.nda
 
 
 def fit_with(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool: LocalPool | TablePool, rounds: int = ROUNDS) -> Model:
-    """Rows in an order that says nothing about y; every fifth is kept for calibration."""
+    """Rows in an order that says nothing about y."""
     mean, scale = text.mean(axis=0), text.std(axis=0)
     mean[0], scale = 0.0, np.where(scale > 1e-9, scale, 1.0)
     scale[0] = 1.0
-    held = np.zeros(len(y), bool)
-    for v in (0, 1):  # of both classes, so that calibration sees both
-        held[np.flatnonzero(y == v)[::5]] = True
     views = [(text - mean) / scale, metadata]
-    train = ~held if len(set(y[~held])) == 2 else np.ones(len(y), bool)
-    own, known = [v[train] for v in views], y[train]
-    n_pseudo = 0
-    weights = [regression(v, known) for v in own]
+    none = lambda v: (np.zeros(v.shape[1]), np.zeros((v.shape[1],) * 2))
+    taught = [Taught(regression(v, y), *none(v)) for v in views]
+    odds = [t.odds(v, y) for t, v in zip(taught, views)]
     so_far: list[Round] = []
     for _ in range(rounds):
-        trust = []
-        for v in (0, 1):
-            p = sigmoid(views[v][held] @ weights[v])
-            trust.append((_trusted(p, y[held] == 1), _trusted(1 - p, y[held] == 0)))
-        so_far = [*so_far, Round(weights, trust)]
-        now = so_far
-        first, n_text = _taught_regression(own[0], known, lambda w: pool.newton(mean, scale, now, w), weights[0])
-        x, label, n = pool.taught(mean, scale, now)
-        share = np.array([_weighed(known, n[label == k].sum(), k) for k in (0.0, 1.0)])
-        second = regression(np.concatenate([own[1], x.reshape(-1, own[1].shape[1])]), np.concatenate([known, label]), weight=np.concatenate([np.ones(len(known)), n * share[label.astype(int)]]))
-        weights = [first, second]
-        if n_text + int(n.sum()) == n_pseudo:
+        trust = [(_trusted(sigmoid(o), y == 1), _trusted(sigmoid(-o), y == 0)) for o in odds]
+        so_far = [*so_far, Round([t.weights for t in taught], trust)]
+        now, before = so_far, sum(t.n for t in taught)
+        taught = [_taught_regression(views[0], y, lambda w: pool.newton(mean, scale, now, w), taught[0].weights), _taught_rows_regression(views[1], y, *pool.taught(mean, scale, now))]
+        odds = [t.odds(v, y) for t, v in zip(taught, views)]
+        if sum(t.n for t in taught) == before:
             break
-        n_pseudo = n_text + int(n.sum())
-    use = held if len(set(y[held])) == 2 else np.ones(len(y), bool)
-    odds = [v[use] @ w for v, w in zip(views, weights)]
-    calibration = tuple(_rising(o, y[use]) for o in odds)
+    calibration = tuple(_rising(o, y) for o in odds)
     both = [c[0] + c[1] * np.clip(o, -20, 20) for c, o in zip(calibration, odds)]
-    x = np.stack([np.ones(int(use.sum())), *both], axis=1)
-    combined = regression(x, y[use], 0.01)
+    x = np.stack([np.ones(len(y)), *both], axis=1)
+    combined = regression(x, y, 0.01)
     if combined[1:].min() < 0:  # a view that would count against itself is left out, and the rest fitted anew
         x[:, 1 + int(np.argmin(combined[1:]))] = 0
-        combined = np.maximum(regression(x, y[use], 0.01), [-np.inf, 0, 0])
-    return Model(mean, scale, weights[0], weights[1], calibration, combined, n_pseudo)
+        combined = np.maximum(regression(x, y, 0.01), [-np.inf, 0, 0])
+    return Model(mean, scale, taught[0].weights, taught[1].weights, calibration, combined, sum(t.n for t in taught))
 
 
 def _measured(text: Column, lang: Column, source: Column, n_chars: Column) -> Column:
@@ -307,7 +357,9 @@ def _measured(text: Column, lang: Column, source: Column, n_chars: Column) -> Co
 
 
 def _matrices(t: pa.Array, a: pa.Array, b: pa.Array, n: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    text = np.array([text_features(x or "") for x in t.to_pylist()], float).reshape(len(t), -1)
+    texts = [x or "" for x in t.to_pylist()]
+    text = np.array([text_features(x) for x in texts], np.float32).reshape(len(t), -1)
+    text = np.concatenate([text, word_features(texts)], axis=1).astype(float)
     seen: dict[tuple, np.ndarray] = {}
     rows = []
     for key in zip(a.to_pylist(), b.to_pylist(), n.to_pylist()):
@@ -354,7 +406,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             text, metadata = _matrices(*[batch.column(f"c{i}") for i in range(4)])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in text], pa.binary()), pa.array(metadata_key(metadata), pa.int64())], names=["id", "text", "key"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in text.astype(np.float32)], pa.binary()), pa.array(metadata_key(metadata), pa.int64())], names=["id", "text", "key"])
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", names: tuple[str, str, str, str] = ("text", "lang", "source", "n_chars"), columns: list[str] | None = None, threshold: float = THRESHOLD, model: Model | float | None = None) -> DataFrame:
