@@ -1,9 +1,10 @@
 """Mixing to target weights by soft domain membership, with DataFrame operations alone.
 
-The domains are the combinations of labels that the label table holds (quality and toxic). A naive Bayes classifier
-over the words that a text has (and a few indicators of its shape) gives every document a posterior for each domain. The
-model is fitted on the labelled documents with the smallest hash of their id, at most MAX_LABELLED of them; its
-vocabulary are the WORDS words that tell most about the domain, so what goes to the driver and back is bounded.
+The domains are the combinations of labels that the label table holds (quality and toxic). A multinomial logistic
+regression over the words that a text has (and a few indicators of its shape) gives every document a posterior for each
+domain. It is fitted on the labelled documents with the smallest hash of their id, at most MAX_LABELLED of them, of which
+the driver sees the known words alone; its vocabulary are all words that tell of the domain by more than chance
+(MIN_TOLD, MIN_LIFT), however many that sample holds.
 
 Each document then has a rate, the expected number of its copies in the mix. The expected tokens of domain k are
 S_k = sum over documents of rate * tokens * posterior_k. Rates minimise sum_k (S_k - target_k) ** 2 / S0_k, subject to
@@ -11,10 +12,12 @@ rate >= min_rate, by projected gradient descent in the metric of the documents'
 
     rate <- max(min_rate, ahead - sum_k posterior_k * (S_k(ahead) - target_k) / S0_k)
 
-where ahead is the rate moved on in the direction of its last change (Nesterov's acceleration). The matrix of that step
-has rows that sum to 1, so step length 1 never diverges. An iteration is one aggregation of the
-slim table of posteriors (no shuffle beyond one row for each task); a document's rate is the fold of the residuals so
-far, so nothing is kept between iterations but as many numbers as there are domains.
+where ahead is the rate moved on in the direction of its last change (Nesterov's acceleration, which starts anew when
+the cost rises). The matrix of that step has rows that sum to 1, so step length 1 never diverges. Documents of equal
+posteriors have equal rates and are one row. A step is one aggregation of these rows (no shuffle beyond one row for each
+task); a rate is the fold of the residuals since the state was last written, every FOLD steps. The steps end by proof:
+residuals give a lower bound of the cost (the dual problem), and the cost must be as near to it as GAP of the cost at
+the start, or every domain within tolerance of its target.
 
 Edge cases: a null or empty text has no words and no tokens, its posterior is that of a text without words and its rate
 follows; labels that are null or whose document is missing are ignored, and several for a document count each; without
@@ -28,24 +31,25 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwell.llm.common import SPACE_CLASS, packed, quoted, written
 
 MAX_LABELLED = 10_000
-WORDS = 128
-MIN_COUNT = 10
 #: Half the G statistic that a word must reach: what chance alone hardly gives to any of a million words.
 MIN_TOLD = 16.0
 #: How much more frequent a word must be in some domain's documents than in all.
 MIN_LIFT = 2.0
+#: The penalty on squared weights of the regression.
+RIDGE = 0.3
 MAX_DOMAINS = 32
-ROUNDS = 30
+#: Steps after which the state is written, so that no fold grows longer.
+FOLD = 16
+#: How near the cost must come to its lower bound, as a share of the cost at the start.
+GAP = 1e-3
 TOLERANCE = 1e-3
-#: Where growth is chosen from the data: how often, and by what factor, it is raised beyond the least.
-RAISES = 6
-RAISE = 1.1
 #: Shares of tokens by domain; q: quality, t: toxic.
 TARGETS = {"q1t0": 0.90, "q1t1": 0.04, "q0t0": 0.055, "q0t1": 0.005}
 OUTPUTS = ("n_tokens", "posteriors", "rate")
@@ -66,29 +70,58 @@ def _featured(docs: DataFrame, text_col: str, others: list[Column]) -> DataFrame
 @dataclass
 class Model:
     domains: list[str]
-    prior: list[float]  # log shares
-    weights: dict[str, list[float]]  # log of how much more frequent a word is in a domain's documents than in all
+    prior: list[float]  # log odds of a text without known words
+    weights: dict[str, list[float]]  # what a word adds to them
 
     def posteriors(self, rows: DataFrame, others: list[str]) -> DataFrame:
         """others and p: an array in the order of domains. rows: w and marks as well."""
         if not self.weights:
-            return rows.select(*others, F.array(*[F.lit(math.exp(x)) for x in self.prior]).alias("p"))
+            most = max(self.prior)
+            e = [math.exp(x - most) for x in self.prior]
+            return rows.select(*others, F.array(*[F.lit(x / sum(e)) for x in e]).alias("p"))
         words = F.array(*[F.lit(w) for w in self.weights])
+        table = F.create_map(*[x for w, v in self.weights.items() for x in (F.lit(w), F.array(*[F.lit(float(y)) for y in v]))])
         known = rows.select(*others, F.concat(F.array_intersect("w", words), F.array_intersect("marks", words)).alias("known"))
-
-        def score(k: int) -> Column:
-            table = F.create_map(*[x for w, v in self.weights.items() for x in (F.lit(w), F.lit(float(v[k])))])
-            return F.aggregate("known", F.lit(float(self.prior[k])), lambda a, w: a + F.element_at(table, w))
-
-        rows, score = known, F.array(*[score(k) for k in range(len(self.domains))])
-        scored = rows.select(*others, score.alias("score")).select(*others, "score", F.array_max("score").alias("most"))
+        found = known.select(*others, F.transform("known", lambda w: F.element_at(table, w)).alias("found"))
+        added = lambda k: lambda a, v: a + v[k]
+        score = F.array(*[F.aggregate("found", F.lit(float(x)), added(k)) for k, x in enumerate(self.prior)])
+        scored = found.select(*others, score.alias("score")).select(*others, "score", F.array_max("score").alias("most"))
         shown = scored.select(*others, F.transform("score", lambda v: F.exp(v - F.col("most"))).alias("e"))
         shown = shown.select(*others, "e", F.aggregate("e", F.lit(0.0), lambda a, b: a + b).alias("all"))
         return shown.select(*others, F.transform("e", lambda v: v / F.col("all")).alias("p"))
 
 
+def regression(rows: list[tuple[list[int], int, int]], n_words: int, n_domains: int, ridge: float = RIDGE, tolerance: float = 1e-4) -> np.ndarray:
+    """Multinomial logistic regression by accelerated gradient steps. rows: known words, domain, number of such documents.
+    The result has a row for each word and, last, the constant, which the penalty spares."""
+    x, y, n = np.zeros((len(rows), n_words + 1)), np.zeros((len(rows), n_domains)), np.array([r[2] for r in rows], float)[:, None]
+    x[:, -1] = 1
+    for i, (known, domain, _) in enumerate(rows):
+        x[i, known] = 1
+        y[i, domain] = 1
+    penalty = np.full((n_words + 1, 1), ridge)
+    penalty[-1] = 1e-3
+    length = 0.5 * np.linalg.norm(x * np.sqrt(n), 2) ** 2 + ridge
+    w = ahead = np.zeros((n_words + 1, n_domains))
+    k, last = 1.0, math.inf
+    for _ in range(5000):
+        score = x @ ahead
+        score -= score.max(axis=1, keepdims=True)
+        p = np.exp(score)
+        p /= p.sum(axis=1, keepdims=True)
+        cost = -float((n * y * np.log(p + 1e-300)).sum()) + 0.5 * float((penalty * ahead**2).sum())
+        new = ahead - (x.T @ (n * (p - y)) + penalty * ahead) / length
+        move = np.abs(new - w).max()
+        k, last, before = (1.0 if cost > last else 0.5 + math.sqrt(0.25 + k * k)), cost, k
+        ahead = new + (0.0 if k == 1.0 else (before - 1) / k) * (new - w)
+        w = new
+        if move < tolerance:
+            break
+    return w
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_cols: tuple[str, ...] = ("quality", "toxic"), max_labelled: int = MAX_LABELLED) -> Model:
-    """Naive Bayes over a bounded sample of the labelled rows and a bounded vocabulary."""
+    """A regression over a bounded sample of the labelled rows."""
     domain = F.concat(*[F.concat(F.lit(c[0]), F.col(quoted(c)).cast("string")) for c in label_cols])
     own = labels.select(F.col(quoted(id_col)).cast("long").alias("id"), domain.alias("domain")).dropna()
     held = docs.select(F.col(quoted(id_col)).cast("long").alias("id"))  # labels of other documents take no place in the sample
@@ -103,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not names:
         return Model(["all"], [0.0], {})
     counted = rows.select("domain", F.explode("present").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n{i}") for i, d in enumerate(names)])
-    counted = written(counted.where((F.col("n") >= MIN_COUNT) | F.col("word").contains(" ")), "words")
+    counted = written(counted.where((F.col("n") > 1) | F.col("word").contains(" ")), "words")
     # each document has one mark of each kind, so those of one kind count the documents
     found = counted.where(F.col("word").startswith("symbols ")).agg(*[F.sum(f"n{i}").alias(d) for i, d in enumerate(names)]).first()
     sizes = {d: found[d] for d in names if found[d]}
@@ -118,10 +151,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # words of a language are common to its documents and say little of a domain: only marked differences count. Of each
     # kind of mark a document has exactly one, so all of them say something.
     lift = F.greatest(*[F.col(f"n{i}") / F.col("n") / share[d] for i, d in enumerate(domains)])
-    best = counted.where((F.col("n") >= MIN_COUNT) & (F.col("word") != "")).withColumn("told", told).where(F.col("word").contains(" ") | (F.col("told") >= MIN_TOLD) & (lift >= MIN_LIFT)).orderBy(F.desc("told"), "word").limit(WORDS).collect()
-    # a word's share among a domain's documents, smoothed with two documents of the average kind, over its share among all
-    weights = {r.word: [math.log((r[f"n{i}"] + 2.0 * r.n / total) / (sizes[d] + 2.0) / (r.n / total)) for i, d in enumerate(domains)] for r in best}
-    return Model(domains, [math.log(share[d]) for d in domains], weights)
+    words = [r.word for r in counted.where((F.col("word") != "") & (F.col("word").contains(" ") | (told >= MIN_TOLD) & (lift >= MIN_LIFT))).select("word").orderBy("word").collect()]
+    known = F.array_sort(F.array_intersect("present", F.array(*[F.lit(w) for w in words])))
+    at = {w: i for i, w in enumerate(words)}
+    seen = rows.groupBy("domain", known.alias("known")).agg(F.count(F.lit(1)).alias("n")).orderBy("domain", "known").collect()  # at most max_labelled rows
+    w = regression([([at[x] for x in r.known], domains.index(r.domain), r.n) for r in seen], len(words), len(domains))
+    return Model(domains, w[-1].tolist(), {x: w[i].tolist() for i, x in enumerate(words)})
 
 
 def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
@@ -137,59 +172,80 @@ class Step:
     residual: list[float]  # (S_k - target_k) / S0_k there
 
 
-def folded(steps: list[Step], min_rate: float, ahead: float = 0.0) -> Column:
-    """A document's rate after the steps so far, from its posteriors p; or the point that lies ahead of it."""
-    first = F.greatest(F.lit(1.0), F.lit(float(min_rate)))
+# Numbers that change from step to step stand in arrays: those are no part of the code that is compiled, which is then the same.
+def _numbers(values: list[float]) -> Column:
+    return F.array(*[F.lit(float(x)) for x in values])
+
+
+def _dot(p: Column, residual: Column) -> Column:
+    return F.aggregate(F.zip_with(p, residual, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+
+
+def _moved(state: Column, steps: list[Step], min_rate: float) -> Column:
+    """The state (before, now) of a document after more steps."""
     if not steps:
-        return first
-    moves = F.array(*[F.struct(F.lit(float(s.ahead)).alias("ahead"), F.array(*[F.lit(float(x)) for x in s.residual]).alias("residual")) for s in steps])
-    dot = lambda e: F.aggregate(F.zip_with(F.col("p"), e, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    move = lambda s, m: F.struct(s["now"].alias("before"), F.greatest(F.lit(float(min_rate)), s["now"] + m["ahead"] * (s["now"] - s["before"]) - dot(m["residual"])).alias("now"))
-    return F.aggregate(moves, F.struct(first.alias("before"), first.alias("now")), move, lambda s: s["now"] + float(ahead) * (s["now"] - s["before"]))
+        return state
+    moves = F.array(*[_numbers([s.ahead, *s.residual]) for s in steps])
+    rest = lambda m: F.slice(m, 2, F.size(m) - 1)
+    move = lambda s, m: F.struct(s["now"].alias("before"), F.greatest(F.lit(float(min_rate)), s["now"] + m[0] * (s["now"] - s["before"]) - _dot(F.col("p"), rest(m))).alias("now"))
+    return F.aggregate(moves, state, move)
 
 
-def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_rate: float = 0.0, growth: float | None = 1.0, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> list[Step]:
-    """slim: n_tokens and p. growth: the mix's tokens over the input's; None: the least at which every domain's goal is at
-    least what min_rate alone gives it, raised
-    further only where that brings the goals within reach of soft posteriors."""
+def folded(steps: list[Step], min_rate: float) -> Column:
+    """A document's rate after the steps, from its posteriors p."""
+    first = F.greatest(F.lit(1.0), F.lit(float(min_rate)))
+    return _moved(F.struct(first.alias("before"), first.alias("now")), steps, min_rate)["now"]
 
-    def sums(rate: Column) -> list[float]:
-        r = slim.agg(*[F.sum(rate * F.col("n_tokens") * F.col("p")[i]).alias(f"s{i}") for i in range(len(domains))]).first()
-        return [float(x or 0.0) for x in r]
 
-    base = sums(F.lit(1.0))
-    all_tokens = sum(base)
+def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_rate: float = 0.0, growth: float = 1.0, rounds: int = FOLD, tolerance: float = TOLERANCE, gap: float = GAP, store=lambda df: written(df, "rates")) -> list[Step]:
+    """slim: n_tokens and p. growth: the mix's tokens over the input's. rounds: steps after which the state is stored."""
+    first = F.greatest(F.lit(1.0), F.lit(float(min_rate)))
+    state = slim.groupBy("p").agg(F.sum("n_tokens").alias("n_tokens")).where("n_tokens > 0")
+    state = store(state.select("p", "n_tokens", F.struct(first.alias("before"), first.alias("now")).alias("state")))
+    n = range(len(domains))
+    base = [float(x or 0.0) for x in state.agg(*[F.sum(F.col("n_tokens") * F.col("p")[i]).alias(f"s{i}") for i in n]).first()]
     wanted = [targets.get(d, 0.0) if domains != ["all"] else 1.0 for d in domains]
+    all_tokens = sum(base)
     if not all_tokens or not sum(wanted):
         return []
-    if growth is None:
-        least = max(1.0, *[min_rate * b * sum(wanted) / (w * all_tokens) for b, w in zip(base, wanted) if w > 0])
-        first, last = None, math.inf
-        for k in range(RAISES + 1):
-            steps = solve(slim, domains, targets, min_rate, least * RAISE**k, rounds, tolerance)
-            now = sums(folded(steps, min_rate))
-            off = max(abs(s / sum(now) - w / sum(wanted)) for s, w in zip(now, wanted))
-            first = steps if first is None else first
-            if off <= 2 * tolerance:
-                return steps
-            if off > 0.75 * last:  # out of reach of these posteriors: more copies of everything would not help
-                break
-            last = off
-        return first
     goal = [growth * all_tokens * w / sum(wanted) for w in wanted]
-    steps: list[Step] = []
-    for k in range(rounds):
-        ahead = (k - 1) / (k + 2) if k > 1 else 0.0
-        now = sums(folded(steps, min_rate, ahead)) if steps or min_rate > 1 else base
-        residual = [(s - g) / b if b > 0 else 0.0 for s, g, b in zip(now, goal, base)]
-        # near enough, or as near as the bound on rates allows
-        if max(abs(s - g) for s, g in zip(now, goal)) <= tolerance * all_tokens or steps and max(abs(a - b) for a, b in zip(residual, steps[-1].residual)) <= tolerance / 4:
-            break
-        steps.append(Step(ahead, residual))
-    return steps
+    cost_of = lambda sums: 0.5 * sum((s - g) ** 2 / b for s, g, b in zip(sums, goal, base) if b > 0)
 
+    def bound(residual: list[float], least: float) -> float:
+        """What no rates can fall below: residuals, raised till none of the documents' products with them is negative, are
+        a point of the dual problem."""
+        u = [x + max(0.0, -least) for x in residual]
+        return sum(-0.5 * b * x * x - x * g + min_rate * b * x for x, b, g in zip(u, base, goal))
 
-def mixing(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None, min_rate: float = 0.0, growth: float | None = 1.0, store=lambda df: df, wide: bool = False) -> tuple[DataFrame, Model]:
+    steps: list[Step] = []
+    new: list[Step] = []
+    k, last, lower, start = 1.0, math.inf, 0.0, None
+    ahead = 0.0
+    while True:
+        moved = state.select("p", "n_tokens", _moved(F.col("state"), new, min_rate).alias("state"))
+        if len(new) >= rounds:
+            state, new = store(moved), []
+            moved = state
+        now, before, t, p = F.col("state.now"), F.col("state.before"), F.col("n_tokens"), F.col("p")
+        point = F.aggregate(_numbers([ahead]), now, lambda x, a: x + a * (now - before))
+        least = F.min(_dot(p, _numbers(steps[-1].residual if steps else [0.0] * len(domains))))
+        r = moved.agg(*[F.sum(point * t * p[i]).alias(f"a{i}") for i in n], *[F.sum(now * t * p[i]).alias(f"s{i}") for i in n], least.alias("least")).first()
+        there, here = [float(r[f"a{i}"]) for i in n], [float(r[f"s{i}"]) for i in n]
+        cost = cost_of(here)
+        start = cost if start is None else start
+        if steps:
+            lower = max(lower, bound(steps[-1].residual, r["least"]))
+        if max(abs(s - g) for s, g, b in zip(here, goal, base) if b > 0) <= tolerance * all_tokens or cost - lower <= gap * start:
+            return steps
+        step = Step(ahead, [(s - g) / b if b > 0 else 0.0 for s, g, b in zip(there, goal, base)])
+        steps.append(step)
+        new.append(step)
+        rises, last = cost_of(there) > last, cost_of(there)
+        k, before_k = (1.0, 1.0) if rises else (0.5 + math.sqrt(0.25 + k * k), k)
+        ahead = (before_k - 1) / k if k > 1 else 0.0
+
+
+def mixing(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None, min_rate: float = 0.0, growth: float = 1.0, store=lambda df: df, wide: bool = False) -> tuple[DataFrame, Model]:
     """(the input's columns, or those named, with n_tokens, posteriors (a map by domain) and rate; the model).
 
     store keeps a slim table between the steps. wide: columns are many, so only n_tokens and p are stored for the
@@ -203,7 +259,7 @@ def mixing(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None
         rows = with_posteriors(docs, model, text_col, columns)
     else:
         rows = slim = store(with_posteriors(docs, model, text_col, columns))
-    steps = solve(slim, model.domains, targets, min_rate, growth)
+    steps = solve(slim.select("n_tokens", "p"), model.domains, targets, min_rate, growth)
     names = F.array(*[F.lit(d) for d in model.domains])
     out = rows.select(*[F.col("row").getField(c).alias(c) for c in columns], "n_tokens", F.map_from_arrays(names, "p").alias("posteriors"), folded(steps, min_rate).alias("rate"))
     return out, model
