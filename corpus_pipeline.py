@@ -19,9 +19,6 @@ from dwell.llm.quality_rules import quality_rules
 from dwell.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: The mix's tokens over those that came in. No document's rate is under 1, so mixing repeats and never drops; None lets
-#: the data say how much has to be repeated for the domains to come to their target weights.
-GROWTH = None
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +39,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents so that the domains' tokens come to their target weights."""
-    out, _ = mixing(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), columns=COLUMNS, min_rate=1.0, growth=GROWTH, store=lambda df: written(df, "posteriors"), wide=True)
+    """As many copies of each document as bring the domains' tokens to their target weights; in all as many tokens as came in."""
+    out, _ = mixing(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), columns=COLUMNS, store=lambda df: written(df, "posteriors"), wide=True)
     return drawn(out, COLUMNS)
 
 
