@@ -1,59 +1,77 @@
 """Passages that documents share, exactly or nearly, by chaining k-mer seeds and aligning the chains.
 
-1. Seeds. All of a document's 6-word hashes (those that are least in some window of WINDOW, which is 1), so any exact run
-   of 6 words that two documents share gives both the same seed.
-2. Matches. Equal seeds are tied to one occurrence, the first of the smallest document: first within each task's bundle,
-   which sends on all positions of that document only, then in blocks of seeds. A seed that very many documents hold is
-   thus one document's entries for each bundle, and it makes one match for each place that holds it, never a pair of any two.
+1. Seeds. Of a document's 5-word hashes those that are least in some window of WINDOW = 2 stay, so any exact run of 6
+   words that two documents share gives both the same seed.
+2. Matches. Each seed is tied to the first place of the smallest document that holds it, whatever the partitions are: a
+   task's bundle sends on all places of its own first holder, to blocks of seeds, and keeps the other holders back as
+   followers; a block finds the first of all, matches the bundles' first holders with it, and tells the bundles, which
+   then match their followers with it too. A seed that very many documents hold is thus one document's entries for each
+   bundle, and makes one match for each place that holds it, never a pair of any two.
 3. Chains. The matches of a document with a source are merged along diagonals and chained in both orders; a chain's
    score is its seeds' less a cost for the words between them, and a Fenwick tree of prefix maxima finds the best
-   predecessor. A chain ends where it leaves more than MAX_GAP words.
-4. Alignment. The two texts meet, the words between a chain's anchors are aligned, and both ends are extended while
-   words agree often enough. Aligned pieces that overlap or touch, whatever their sources, form a passage; those in
-   passages of at least min_words words are the result.
-
-A document's chains that other chains cover wholly are not needed and are left out before. The first holder of a passage
-is its source and is named as such; every other holder has rows of its own. A piece's
-source need not hold the whole passage: pieces from several sources may cover it.
-
-Scale: moved are 20 bytes for each word and 24 for each match, before compression, byte by byte of their place (first
-bytes, second bytes ...) so that those of documents and positions shrink, the texts of documents with enough
-matched words and of their sources, and of the former once more the words about each chain. A task holds one bundle, one block, or one document's matches.
-
-Edge cases: null and empty texts and texts under 6 words share nothing; rows without an id are left out, as no result
-could name them; rows of one id are searched as one document, never against each other, so equal rows share nothing;
-very long texts are searched whole; extra columns are ignored; an empty table gives an empty result.
+   predecessor. A chain ends where it leaves more than MAX_GAP words. Chains of one document that lie within 2 * REACH
+   words of each other are a run; runs that could not reach min_words even with REACH words more at each end go.
+4. Alignment. The two texts meet, the words between a chain's anchors are aligned, and both ends are extended through
+   equal words, changed, added and missing ones alike, while equal ones prevail. Of the stretch so found the parts stay
+   where an equal word counts 1 and any other one -UNEQUAL and that no cut would better; a part is a piece of the result if
+   it alone, in either text, is min_words long. So a passage is one that a single source holds: what is made of short
+   parts of several sources is none. Where a run has chains with several sources and none gives a piece, another document
+   may still hold the whole of it, which the smaller ones hid; such runs alone go through all four steps once more, and
+   again, until none is left. Each time at least the smallest document leaves.
+
+The first holder of a passage is its source and is named as such; every other holder has rows of its own. Pieces of a
+document that overlap or touch form a passage.
+
+Scale: shuffled are 6 bytes of hash for two words in three and their place, byte by byte (first bytes, second bytes ...)
+so that those of documents and positions shrink to about two bytes; the matches, alike; the texts of documents with runs
+and of their sources, and of the former the runs' words once more for each chain. A task holds one bundle, one block, or
+one document's matches; blocks are sized by the bytes of all texts, not by the number of tasks. Hashes have 48 bits
+beside the block's: chance ties cost an alignment, never a wrong row.
+
+Edge cases: null and empty texts and texts under 5 words share nothing; rows without an id take part, those of equal texts
+as one document behind all others, and are named null; rows of one id are searched as one document, never against each
+other, so equal rows share nothing; very long texts are searched whole; extra columns are ignored; an empty table gives
+an empty result. An extension goes through at most PAD words beyond the run, where no seed of any document stands.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwell.llm.common import partitions, quoted, small_batches, written
 from dwell.llm.word_hash import ngram_hashes, words_of
 
-K = 6
-WINDOW = 1  # every seed stays
+K = 5
+WINDOW = 2
 MIN_WORDS = 50
 MAX_GAP = 30
-MIN_CHAIN = 2 * K
 REACH = 14  # words beside a chain that may match though no seed shows it
-PAD = 4 * REACH  # words beside a chain that an extension may go through
+PAD = 4 * REACH  # words beside a run that an extension may go through
 GAP_COST = 0.2
-DROP = 6  # an extension ends when its score is so far below its best
-BLOCKS_PER_PARTITION = 10
+UNEQUAL = 1.5  # what a word that is not equal costs against the 1 of an equal one
+DROP = 8  # an extension ends when its score is so far below its best
+BLOCK_BYTES = 32 << 20  # of text, at most, for each block of seeds or of documents
 FLUSH = 1 << 19
 BROADCAST_ROWS = 500_000
+NO_ID = 1 << 62  # documents without an id are numbered from here on
 
-BUNDLE_SQL = "kind int, block int, a binary"
+BUNDLE_SQL = "kind int, block int, bundle long, a binary"
+#: kinds of rows: matches for a block of documents, seeds for a block of seeds, followers and what a block tells of them for a bundle
+MATCHES, SEEDS, FOLLOWERS, TOLD = range(4)
 SEED = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("pos", "<i4")])
 MATCH = np.dtype([("doc", "<i8"), ("source", "<i8"), ("pos", "<i4"), ("at", "<i4")])
 SEGMENT = np.dtype([("pos", "<i4"), ("at", "<i4"), ("size", "<i4"), ("chain", "<i4")])
+#: The top bit of a seed's place: other documents of its bundle hold the seed too.
+FOLLOWED = 1 << 30
+GRAM_MASK = np.uint64((1 << 48) - 1)
 
 
 def _least(h: np.ndarray, w: int, of=np.minimum) -> np.ndarray:
@@ -73,37 +91,48 @@ def minimizers(h: np.ndarray, w: int = WINDOW) -> np.ndarray:
     return np.flatnonzero(_least(np.concatenate([pad, least, pad]), w, np.maximum) == h)
 
 
-def _planes(rows: np.ndarray) -> bytes:
-    """Rows in order of document and position, as the first bytes of all, the second bytes of all and so on."""
+def _planes(rows: np.ndarray, short: bool = False) -> bytes:
+    """Rows in order of document and place, as the first bytes of all, the second bytes of all and so on; short leaves out
+    the two high bytes of a hash."""
     rows = np.ascontiguousarray(rows[np.lexsort((rows["pos"], rows["doc"]))])
-    return rows.view(np.uint8).reshape(-1, rows.dtype.itemsize).T.tobytes()
+    planes = rows.view(np.uint8).reshape(-1, rows.dtype.itemsize).T
+    return (np.delete(planes, (6, 7), axis=0) if short else planes).tobytes()
 
 
 def _rows(planes: bytes, kind: np.dtype) -> np.ndarray:
+    if kind == SEED:
+        held = np.frombuffer(planes, np.uint8).reshape(kind.itemsize - 2, -1)
+        whole = np.zeros((kind.itemsize, held.shape[1]), np.uint8)
+        whole[:6], whole[8:] = held[:6], held[6:]
+        return np.ascontiguousarray(whole.T).view(kind).ravel()
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
-def _bundled(rows: np.ndarray, block: np.ndarray, kind: int) -> Iterator[pa.RecordBatch]:
+def _batch(kind: int, blocks: list[int | None], bundles: list[int | None], data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([kind] * len(data), pa.int32()), pa.array(blocks, pa.int32()), pa.array(bundles, pa.int64()), pa.array(data, pa.binary())], names=["kind", "block", "bundle", "a"])
+
+
+def _bundled(rows: np.ndarray, block: np.ndarray, kind: int, bundle: int | None = None) -> Iterator[pa.RecordBatch]:
     order = np.argsort(block, kind="stable")
     rows, block = rows[order], block[order]
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
     part = [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
     for i in range(0, len(part), 256):
         own = part[i : i + 256]
-        yield pa.RecordBatch.from_arrays([pa.array([kind] * len(own), pa.int32()), pa.array([int(block[a]) for a, _ in own], pa.int32()), pa.array([_planes(rows[a:b]) for a, b in own], pa.binary())], names=["kind", "block", "a"])
+        yield _batch(kind, [int(block[a]) for a, _ in own], [bundle] * len(own), [_planes(rows[a:b], kind != MATCHES) for a, b in own])
+
+
+def _ordered(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds in order of (gram, doc, pos), and for each the index of its gram's first."""
+    seeds = seeds[np.lexsort((seeds["pos"], seeds["doc"], seeds["gram"]))]
+    start = np.flatnonzero(np.concatenate([[True], seeds["gram"][1:] != seeds["gram"][:-1]])) if len(seeds) else np.zeros(0, np.int64)
+    return seeds, np.repeat(start, np.diff(np.append(start, len(seeds))))
 
 
-def tied(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Seeds in order of (gram, doc, pos) to (matches with the first occurrence of another document, all seeds of the first holders)."""
-    if not len(seeds):
-        return np.zeros(0, MATCH), seeds
-    start = np.flatnonzero(np.concatenate([[True], seeds["gram"][1:] != seeds["gram"][:-1]]))
-    first = np.repeat(start, np.diff(np.append(start, len(seeds))))
-    other = seeds["doc"] != seeds["doc"][first]
-    matches = np.zeros(int(other.sum()), MATCH)
-    matches["doc"], matches["pos"] = seeds["doc"][other], seeds["pos"][other]
-    matches["source"], matches["at"] = seeds["doc"][first[other]], seeds["pos"][first[other]]
-    return matches, seeds[~other]
+def _matches(doc: np.ndarray, pos: np.ndarray, source: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(doc), MATCH)
+    out["doc"], out["pos"], out["source"], out["at"] = doc, pos, source, at
+    return out
 
 
 def _by(x: np.ndarray, n: int) -> np.ndarray:
@@ -111,60 +140,100 @@ def _by(x: np.ndarray, n: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % n
 
 
+def _inside(at: np.ndarray, ranges: bytes | None) -> np.ndarray:
+    """Places of seeds whose words all lie in one of the ranges (first word and end, one after the other), or all places."""
+    if ranges is None:
+        return at
+    edges = np.frombuffer(ranges, "<i8").reshape(-1, 2)
+    edges = edges[np.argsort(edges[:, 0])]
+    k = np.searchsorted(edges[:, 0], at, side="right") - 1
+    return at[(k >= 0) & (at + K <= edges[np.maximum(k, 0), 1])]
+
+
 def _seeded(n_blocks: int):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        bundle, held, size = TaskContext.get().partitionId() << 32, [], 0
 
         def flush():
-            seeds = np.concatenate(held)
-            matches, firsts = tied(seeds[np.lexsort((seeds["pos"], seeds["doc"], seeds["gram"]))])
-            yield from _bundled(matches, _by(np.ascontiguousarray(matches["doc"]), n_blocks), 1)
-            yield from _bundled(firsts, _by(np.ascontiguousarray(firsts["gram"]), n_blocks), 2)
+            seeds, first = _ordered(np.concatenate(held))
+            other = seeds["doc"] != seeds["doc"][first]
+            followed = np.zeros(len(seeds), bool)
+            followed[first[other]] = True
+            followed = followed[first]  # by gram
+            if other.any():  # with the first holder's first place, which stands for all that the block may not tell
+                kept = seeds[other | (followed & (np.arange(len(seeds)) == first))]
+                yield _batch(FOLLOWERS, [None], [bundle], [_planes(kept, True)])
+            firsts = seeds[~other]
+            block = _by(firsts["gram"] >> np.uint64(16), n_blocks)
+            firsts["pos"] |= np.where(followed[~other], FOLLOWED, 0).astype(np.int32)
+            yield from _bundled(firsts, block, SEEDS, bundle)
 
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for doc, (n, h) in zip(batch.column(0).to_pylist(), ngram_hashes(texts, K)):
+            for doc, ranges, (n, h) in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), ngram_hashes(texts, K)):
                 if n >= K:
-                    at = minimizers(h)
+                    at = _inside(minimizers(h), ranges)
                     own = np.zeros(len(at), SEED)
-                    own["gram"], own["doc"], own["pos"] = h[at], doc, at
+                    own["gram"], own["doc"], own["pos"] = h[at] & GRAM_MASK, doc, at
                     held.append(own)
                     size += len(own)
-            if size >= FLUSH:
-                yield from flush()
-                held, size = [], 0
+                    if size >= FLUSH:
+                        yield from flush()
+                        held, size, bundle = [], 0, bundle + 1
         if size:
             yield from flush()
 
     return per_partition
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.ndarray]:
-    """Rows come ordered by block: the array of each block."""
-    block, held = None, []
+def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+    """Rows come ordered by the key: each key's (kind, bundle, data)."""
+    now, held = None, []
     for batch in batches:
-        for b, a in zip(batch.column("block").to_pylist(), batch.column("a").to_pylist()):
-            if b != block and held:
-                yield np.concatenate(held)
+        cols = [batch.column(c).to_pylist() for c in (key, "kind", "bundle", "a")]
+        for k, *row in zip(*cols):
+            if k != now and held:
+                yield now, held
                 held = []
-            block = b
-            held.append(_rows(a, kind))
+            now = k
+            held.append(tuple(row))
     if held:
-        yield np.concatenate(held)
+        yield now, held
+
 
+def _met(n_blocks: int):
+    """Blocks of seeds: matches of the bundles' first holders with the first of all, and for bundles with followers, that one."""
 
-def _matched(n_blocks: int):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush():
             matches = np.concatenate(held)
-            yield from _bundled(matches, _by(np.ascontiguousarray(matches["doc"]), n_blocks), 1)
-
-        for seeds in _grouped(batches, SEED):
-            matches, _ = tied(seeds[np.lexsort((seeds["pos"], seeds["doc"], seeds["gram"]))])
-            held.append(matches)
-            size += len(matches)
+            yield from _bundled(matches, _by(np.ascontiguousarray(matches["doc"]), n_blocks), MATCHES)
+
+        for _, rows in _grouped(batches, "block"):
+            parts = [_rows(a, SEED) for _, _, a in rows]
+            bundle = np.repeat([b for _, b, _ in rows], [len(p) for p in parts])
+            seeds = np.concatenate(parts)
+            followed = seeds["pos"] & FOLLOWED != 0
+            seeds["pos"] &= FOLLOWED - 1
+            order = np.lexsort((seeds["pos"], seeds["doc"], seeds["gram"]))
+            seeds, bundle, followed = seeds[order], bundle[order], followed[order]
+            seeds, first = _ordered(seeds)  # in order already, so bundle and followed stay beside them
+            other = seeds["doc"] != seeds["doc"][first]
+            matches = _matches(seeds["doc"][other], seeds["pos"][other], seeds["doc"][first[other]], seeds["pos"][first[other]])
+            if len(matches):
+                held.append(matches)
+                size += len(matches)
+            tell = other & followed
+            if tell.any():
+                said, to = seeds[first[tell]], bundle[tell]
+                once = np.unique(np.stack([to, said["gram"].view(np.int64)], axis=1), axis=0, return_index=True)[1]
+                said, to = said[once], to[once]
+                cuts = [0, *(np.flatnonzero(np.diff(to)) + 1).tolist(), len(to)]
+                for i in range(0, len(cuts) - 1, 256):
+                    own = list(zip(cuts[i : i + 256], cuts[i + 1 : i + 257]))
+                    yield _batch(TOLD, [None] * len(own), [int(to[a]) for a, _ in own], [_planes(said[a:b], True) for a, b in own])
             if size >= FLUSH:
                 yield from flush()
                 held, size = [], 0
@@ -174,6 +243,43 @@ def _matched(n_blocks: int):
     return per_partition
 
 
+def _passed(inner):
+    """Followers stand before the seeds of a partition and pass as they are; the rest goes to inner."""
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = iter(batches)
+        for batch in batches:
+            own = pc.equal(batch.column("kind"), FOLLOWERS)
+            if pc.any(own).as_py():
+                yield batch.filter(own)
+            rest = batch.filter(pc.invert(own))
+            if rest.num_rows:
+                yield from inner(chain([rest], batches))
+
+    return per_partition
+
+
+def _followed(n_blocks: int):
+    """Bundles: matches of the followers with the first of all, which is the bundle's own first holder where no block told another."""
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _grouped(batches, "bundle"):
+            seeds, first = _ordered(np.concatenate([_rows(a, SEED) for k, _, a in rows if k == FOLLOWERS]))
+            told = [_rows(a, SEED) for k, _, a in rows if k == TOLD]
+            source, at = seeds["doc"][first].copy(), seeds["pos"][first].copy()
+            if told:
+                told = np.concatenate(told)
+                told = told[np.argsort(told["gram"])]
+                k = np.minimum(np.searchsorted(told["gram"], seeds["gram"]), len(told) - 1)
+                hit = told["gram"][k] == seeds["gram"]
+                source[hit], at[hit] = told["doc"][k[hit]], told["pos"][k[hit]]
+            other = seeds["doc"] != seeds["doc"][first]  # the first holder's own places are matched in the block
+            matches = _matches(seeds["doc"][other], seeds["pos"][other], source[other], at[other])
+            yield from _bundled(matches, _by(np.ascontiguousarray(matches["doc"]), n_blocks), MATCHES)
+
+    return per_partition
+
+
 def segments(pos: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Matches of one pair, merged along diagonals: (pos, at, size in words, seeds)."""
     order = np.lexsort((pos, pos - at))
@@ -237,13 +343,13 @@ def chains(pos: np.ndarray, at: np.ndarray, size: np.ndarray, seeds: np.ndarray)
         before[i] = j if gain > 0 else -1
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda i: -score[i]):
-        chain = []
+        own = []
         while i >= 0 and not used[i]:
             used[i] = True
-            chain.append(i)
+            own.append(i)
             i = before[i]
-        if chain:
-            out.append(chain[::-1])
+        if own:
+            out.append(own[::-1])
     return out
 
 
@@ -252,8 +358,8 @@ def pieces(pos: np.ndarray, at: np.ndarray) -> np.ndarray:
     p, q, size, seeds = segments(pos, at)
     out: list[tuple[int, int, int, int]] = []
     number = 0
-    for chain in chains(p, q, size, seeds):
-        for k, i in enumerate(chain):
+    for own in chains(p, q, size, seeds):
+        for k, i in enumerate(own):
             if k and max(p[i] - out[-1][0] - out[-1][2], q[i] - out[-1][1] - out[-1][2]) > MAX_GAP:
                 number += 1
             out.append((int(p[i]), int(q[i]), int(size[i]), number))
@@ -261,44 +367,40 @@ def pieces(pos: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.array(out, SEGMENT)
 
 
-def needed(spans: list[tuple[int, int]], min_words: int, slack: int) -> list[int]:
-    """Of spans those that are needed to cover every run of min_words or more that all of them cover, each widened by
-    slack. Within a run each span chosen reaches furthest among those that begin where the covered part ends or before."""
+def runs_of(spans: list[tuple[int, int]], min_words: int) -> list[tuple[int, int, list[int]]]:
+    """(first word, end, spans) of the runs that may hold a passage. Spans that lie within another one of min_words add
+    nothing to it and are left out."""
     order = sorted(range(len(spans)), key=lambda i: (spans[i][0], -spans[i][1]))
     out, i = [], 0
     while i < len(order):
-        run, end = [], spans[order[i]][1]
-        while i < len(order) and spans[order[i]][0] - slack <= end + slack:
-            end = max(end, spans[order[i]][1])
-            run.append(order[i])
+        first, end = spans[order[i]]
+        run: list[int] = []
+        covered = -1  # as far as a span of min_words reaches
+        while i < len(order) and spans[order[i]][0] - REACH <= end + REACH:
+            a, b = spans[order[i]]
+            if b > covered:
+                run.append(order[i])
+            if b - a >= min_words:
+                covered = max(covered, b)
+            end = max(end, b)
             i += 1
-        if end + slack - max(0, spans[run[0]][0] - slack) < min_words:
-            continue
-        k, done = 0, -1
-        while k < len(run):
-            best = run[k]
-            if spans[best][1] <= done:  # nothing new
-                k += 1
-                continue
-            while k < len(run) and spans[run[k]][0] <= max(done, spans[best][0]):
-                if spans[run[k]][1] > spans[best][1]:
-                    best = run[k]
-                k += 1
-            if spans[best][1] > done:
-                out.append(best)
-                done = spans[best][1]
+        if end - first + 2 * REACH >= min_words:
+            out.append((first, end, run))
     return out
 
 
+CHAINED_SQL = "doc long, source long, run long, run_end long, segments binary"
+
+
 def _chained(min_words: int):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for matches in _grouped(batches, MATCH):
+        for _, blobs in _grouped(batches, "block"):
+            matches = np.concatenate([_rows(a, MATCH) for _, _, a in blobs])
             matches = matches[np.lexsort((matches["pos"], matches["source"], matches["doc"]))]
             doc, source = matches["doc"], matches["source"]
-            new_doc = np.concatenate([[True], doc[1:] != doc[:-1]])
-            new = new_doc | np.concatenate([[True], source[1:] != source[:-1]])
+            new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (source[1:] != source[:-1])])
             cuts = np.append(np.flatnonzero(new), len(matches)).tolist()
-            rows: list[tuple[int, int, bytes]] = []
+            rows: list[tuple] = []
             own: list[tuple[int, int, np.ndarray]] = []
 
             def close():
@@ -308,10 +410,11 @@ def _chained(min_words: int):
                     least, most = np.minimum.reduceat(s["pos"], starts), np.maximum.reduceat(s["pos"] + s["size"], starts)
                     spans += zip(least.tolist(), most.tolist())
                     of += [(k, c) for c in s["chain"][starts].tolist()]
-                kept: dict[int, list[int]] = {}
-                for i in needed(spans, min_words, REACH):
-                    kept.setdefault(of[i][0], []).append(of[i][1])
-                rows.extend((own[k][0], own[k][1], own[k][2][np.isin(own[k][2]["chain"], chosen)].tobytes()) for k, chosen in kept.items())
+                for first, end, run in runs_of(spans, min_words):
+                    kept: dict[int, list[int]] = {}
+                    for i in run:
+                        kept.setdefault(of[i][0], []).append(of[i][1])
+                    rows.extend((own[k][0], own[k][1], first, end, own[k][2][np.isin(own[k][2]["chain"], chosen)].tobytes()) for k, chosen in kept.items())
                 own.clear()
 
             for a, b in zip(cuts, cuts[1:]):
@@ -320,8 +423,8 @@ def _chained(min_words: int):
                 own.append((int(doc[a]), int(source[a]), pieces(matches["pos"][a:b].astype(np.int64), matches["at"][a:b].astype(np.int64))))
             if own:
                 close()
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], names=["doc", "source", "segments"])
+            for i in range(0, len(rows), 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 4096]), (pa.int64(),) * 4 + (pa.binary(),))], names=["doc", "source", "run", "run_end", "segments"])
 
     return per_partition
 
@@ -340,124 +443,213 @@ def equal_in_gap(x: list[bytes], y: list[bytes]) -> int:
     return row[-1]
 
 
-def equal_along(x: list[bytes], y: list[bytes]) -> int:
-    """Equal words of two stretches on one diagonal; what lies between runs of K is aligned, as words may be shifted there."""
-    total = last = k = 0
-    while k < len(x):
-        start = k
-        while k < len(x) and x[k] == y[k]:
-            k += 1
-        if k - start >= K:
-            total += equal_in_gap(x[last:start], y[last:start]) + k - start
-            last = k
-        k += k == start
-    return total + equal_in_gap(x[last:], y[last:])
-
-
-def extended(x: list[bytes], y: list[bytes], i: int, j: int, step: int) -> tuple[int, int]:
-    """How far, and with how many equal words, two texts agree from (i, j) on in the direction of step."""
-    score = best = length = equal = 0
-    found = (0, 0)
-    while 0 <= i < len(x) and 0 <= j < len(y):
-        length += 1
-        if x[i] == y[j]:
-            equal += 1
-            score += 1
-        else:
-            score -= 2
-        if score > best:
-            best, found = score, (length, equal)
-        if score < best - DROP:
-            break
-        i, j = i + step, j + step
+def blocks_of(x: list[bytes], y: list[bytes], p: list[int], q: list[int], size: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """A chain as stretches (start, end, start in y, end in y, equal words): runs of K equal words or more, and what lies between."""
+    out: list[tuple[int, int, int, int, int]] = []
+    i, j = p[0], q[0]
+
+    def gap(a: int, b: int) -> None:
+        nonlocal i, j
+        if a > i or b > j:
+            out.append((i, a, j, b, equal_in_gap(x[i:a], y[j:b])))
+        i, j = a, b
+
+    for a, b, n in zip(p, q, size):
+        k = 0
+        while k < n:
+            start = k
+            while k < n and x[a + k] == y[b + k]:
+                k += 1
+            if k - start >= K:
+                gap(a + start, b + start)
+                out.append((a + start, a + k, b + start, b + k, k - start))
+                i, j = a + k, b + k
+            k += k == start
+    return out
+
+
+def extended(x: list[bytes], y: list[bytes], i: int, j: int, step: int) -> tuple[int, int, int]:
+    """How far two texts agree from (i, j) on in the direction of step: words of x, words of y, equal ones. Furthest points
+    by diagonal for each number of changed, added or missing words; those that fall DROP below the best score go."""
+    n, m = (len(x) - i, len(y) - j) if step > 0 else (i + 1, j + 1)
+    best, found = 0.0, (0, 0, 0)
+    front = {0: (0, 0)}  # diagonal: words of x, equal ones
+    edits = 0
+    while front:
+        reached: dict[int, tuple[int, int]] = {}
+        for d, (a, e) in front.items():
+            b = a - d
+            while a < n and b < m and x[i + step * a] == y[j + step * b]:
+                a, b, e = a + 1, b + 1, e + 1
+            score = e - UNEQUAL * edits
+            if score > best:
+                best, found = score, (a, b, e)
+            if score >= best - DROP:
+                reached[d] = (a, e)
+        edits += 1
+        front = {}
+        for d, (a, e) in reached.items():
+            b = a - d
+            for dd, aa, bb in ((d, a + 1, b + 1), (d + 1, a + 1, b), (d - 1, a, b + 1)):
+                if aa <= n and bb <= m and e - UNEQUAL * edits >= best - DROP and ((aa, e) > front.get(dd, (-1, -1))):
+                    front[dd] = (aa, e)
     return found
 
 
-def aligned(x: list[bytes], y: list[bytes], parts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """(start, end, source start, source end, equal words) of each chain."""
+def best_parts(stretches: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """All maximal parts of a row of stretches, by score: an equal word counts 1, any other -UNEQUAL (Ruzzo and Tompa)."""
+    parts: list[tuple[float, float, int, int]] = []  # score before, score after, first and last stretch
+    total = 0.0
+    for k, (a, b, c, d, equal) in enumerate(stretches):
+        score = equal - UNEQUAL * (max(b - a, d - c) - equal)
+        if score <= 0:
+            total += score
+            continue
+        left, right, first = total, total + score, k
+        total = right
+        while True:
+            at = next((z for z in range(len(parts) - 1, -1, -1) if parts[z][0] < left), None)
+            if at is None or parts[at][1] >= right:
+                parts.append((left, right, first, k))
+                break
+            left, first = parts[at][0], parts[at][2]
+            del parts[at:]
+    return [(stretches[f][0], stretches[t][1], stretches[f][2], stretches[t][3], sum(s[4] for s in stretches[f : t + 1])) for _, _, f, t in parts]
+
+
+def aligned(x: list[bytes], y: list[bytes], parts: np.ndarray, min_words: int = 2 * K) -> list[tuple[int, int, int, int, int]]:
+    """(start, end, source start, source end, equal words) of each piece of min_words or more."""
     out = []
     for c in np.unique(parts["chain"]):
         own = parts[parts["chain"] == c]
         own = own[np.argsort(own["pos"])]
         p, q, size = own["pos"].tolist(), own["at"].tolist(), own["size"].tolist()
-        if p[-1] + size[-1] > len(x) or q[-1] + size[-1] > len(y) or x[p[0]] != y[q[0]]:
+        if p[-1] + size[-1] > len(x) or q[-1] + size[-1] > len(y):
             continue  # another row of this id holds it
-        equal = sum(equal_along(x[i : i + n], y[j : j + n]) for i, j, n in zip(p, q, size))
-        for k in range(1, len(p)):
-            equal += equal_in_gap(x[p[k - 1] + size[k - 1] : p[k]], y[q[k - 1] + size[k - 1] : q[k]])
-        left, left_equal = extended(x, y, p[0] - 1, q[0] - 1, -1)
-        right, right_equal = extended(x, y, p[-1] + size[-1], q[-1] + size[-1], 1)
-        span = (p[0] - left, p[-1] + size[-1] + right, q[0] - left, q[-1] + size[-1] + right, equal + left_equal + right_equal)
-        if span[1] - span[0] >= MIN_CHAIN:
-            out.append(span)
-    return out
+        middle = blocks_of(x, y, p, q, size)
+        if not middle:
+            continue  # a chance tie of hashes, or another row of this id
+        a, b, e = extended(x, y, middle[0][0] - 1, middle[0][2] - 1, -1)
+        left = [(middle[0][0] - a, middle[0][0], middle[0][2] - b, middle[0][2], e)] if a else []
+        a, b, e = extended(x, y, middle[-1][1], middle[-1][3], 1)
+        right = [(middle[-1][1], middle[-1][1] + a, middle[-1][3], middle[-1][3] + b, e)] if a else []
+        out += [s for s in best_parts(left + middle + right) if max(s[1] - s[0], s[3] - s[2]) >= min_words]
+    return sorted(set(out))
 
 
-SLICED_SQL = "doc long, source long, segments binary, first long, doc_text binary"
+SLICED_SQL = "doc long, source long, run long, run_end long, segments binary, first long, doc_id long, doc_text binary"
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the texts only the words about the chains go on to meet their sources; positions then count from first."""
+    """Of the texts only the words about the runs go on to meet their sources; positions then count from first."""
+    last: tuple[bytes, list[bytes]] = (b"", [])
     for batch in batches:
         firsts, slices, parts = [], [], []
-        last: tuple[bytes, list[bytes]] = (b"", [])
-        for raw, data in zip(batch.column("doc_text").cast(pa.binary()), batch.column("segments")):
+        for raw, data, run, end in zip(batch.column("doc_text").cast(pa.binary()), batch.column("segments"), batch.column("run").to_pylist(), batch.column("run_end").to_pylist()):
             if (text := raw.as_py()) != last[0]:
                 last = (text, words_of(text))
             own = np.frombuffer(data.as_py(), SEGMENT).copy()
-            first = max(0, int(own["pos"].min()) - PAD)
-            slices.append(b" ".join(last[1][first : int((own["pos"] + own["size"]).max()) + PAD]))
+            first = max(0, run - PAD)
+            slices.append(b" ".join(last[1][first : end + PAD]))
             own["pos"] -= first
             firsts.append(first)
             parts.append(own.tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("source"), pa.array(parts, pa.binary()), pa.array(firsts, pa.int64()), pa.array(slices, pa.binary())], names=["doc", "source", "segments", "first", "doc_text"])
+        cols = [batch.column(c) for c in ("doc", "source", "run", "run_end")]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(parts, pa.binary()), pa.array(firsts, pa.int64()), batch.column("doc_id"), pa.array(slices, pa.binary())], names=["doc", "source", "run", "run_end", "segments", "first", "doc_id", "doc_text"])
 
 
-ALIGNED_SQL = "doc_id long, start long, end long, source_doc_id long, source_start long, source_end long, n_equal long"
+ALIGNED = ("doc", "run", "run_end", "source", "doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "n_equal")
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows: list[tuple] = []
+def _aligned(min_words: int):
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pieces; for chains that give none a row without a start."""
         last: tuple[bytes, list[bytes]] = (b"", [])
-        cols = {n: batch.column(n) for n in ("doc", "source", "segments", "first")}
-        texts = [batch.column(n).cast(pa.binary()) for n in ("doc_text", "source_text")]
-        for i in range(batch.num_rows):
-            x = words_of(texts[0][i].as_py())
-            raw = texts[1][i].as_py()
-            if raw != last[0]:
-                last = (raw, words_of(raw))
-            doc, source, first = (cols[c][i].as_py() for c in ("doc", "source", "first"))
-            rows += [(doc, a + first, b + first, source, c, d, e) for a, b, c, d, e in aligned(x, last[1], np.frombuffer(cols["segments"][i].as_py(), SEGMENT))]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "n_equal"])
+        for batch in batches:
+            rows: list[tuple] = []
+            cols = {n: batch.column(n).to_pylist() for n in ("doc", "source", "run", "run_end", "first", "doc_id", "source_doc_id")}
+            texts = [batch.column(n).cast(pa.binary()) for n in ("doc_text", "source_text")]
+            for i, (doc, source, run, end, first, doc_id, source_id) in enumerate(zip(*cols.values())):
+                raw = texts[1][i].as_py()
+                if raw != last[0]:
+                    last = (raw, words_of(raw))
+                found = aligned(words_of(texts[0][i].as_py()), last[1], np.frombuffer(batch.column("segments")[i].as_py(), SEGMENT), min_words)
+                rows += [(doc, run, end, source, doc_id, a + first, b + first, source_id, c, d, e) for a, b, c, d, e in found] or [(doc, run, end, source, doc_id, None, None, source_id, None, None, None)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=list(ALIGNED))
+
+    return per_partition
+
+
+def _round(texts: DataFrame, size: int, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """texts: doc, doc_id, text, ranges (where its seeds may stand; null: anywhere). All pieces, and what is left to look into:
+    doc, ranges."""
+    n_blocks = max(10 * partitions(texts.sparkSession), -(-size // BLOCK_BYTES))
+    n = max(partitions(texts.sparkSession), n_blocks // 16)
+    dealt = lambda df, key: df.repartition(n, key).sortWithinPartitions(key)
+    seeds = texts.select("doc", "text", "ranges").mapInArrow(_seeded(n_blocks), BUNDLE_SQL)
+    slot = F.coalesce("block", F.lit(-1) - F.pmod(F.xxhash64("bundle"), F.lit(n_blocks)).cast("int"))
+    met = written(dealt(seeds.withColumn("block", slot), "block").mapInArrow(_passed(_met(n_blocks)), BUNDLE_SQL), "matches")
+    late = dealt(met.where(F.col("kind").isin(FOLLOWERS, TOLD)), "bundle").mapInArrow(_followed(n_blocks), BUNDLE_SQL)
+    matches = met.where(F.col("kind") == MATCHES).unionByName(late)
+    found = written(dealt(matches, "block").mapInArrow(_chained(min_words), CHAINED_SQL), "chains")
+
+    wanted = written(found.select(F.explode(F.array("doc", "source")).alias("doc")).distinct(), "wanted")
+    few = wanted.count() <= BROADCAST_ROWS
+    chosen = texts.join(F.broadcast(wanted) if few else wanted, "doc", "left_semi")
+    left = found.join(chosen.select("doc", "doc_id", F.col("text").alias("doc_text")), "doc")
+    left = left.select("doc", "source", "run", "run_end", "segments", "doc_id", "doc_text").mapInArrow(_sliced, SLICED_SQL)
+    both = left.join(chosen.select(F.col("doc").alias("source"), F.col("doc_id").alias("source_doc_id"), F.col("text").alias("source_text")), "source")
+    both = both.select("doc", "source", "run", "run_end", "segments", "first", "doc_id", "doc_text", "source_doc_id", "source_text")
+    spans = written(both.mapInArrow(_aligned(min_words), ", ".join(f"`{c}` long" for c in ALIGNED)).distinct(), "aligned")
+
+    # where several sources hold parts of a run and none a piece, another document may hold the whole of it
+    run = ["doc", "run", "run_end"]
+    several = spans.groupBy(*run).agg((F.min("source") < F.max("source")).alias("several"), F.array_sort(F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "end")))).alias("pieces")).where("several")
+    gap = F.aggregate(
+        F.concat("pieces", F.array(F.struct(F.col("run_end").alias("start"), F.col("run_end").alias("end")))),
+        F.struct(F.col("run").alias("reach"), F.array().cast("array<struct<start:long,end:long>>").alias("gaps")),
+        lambda s, p: F.struct(F.greatest(s["reach"], p["end"]).alias("reach"), F.when(p["start"] - s["reach"] >= max(K, min_words - 2 * REACH), F.array_append(s["gaps"], F.struct(s["reach"].alias("start"), p["start"].alias("end")))).otherwise(s["gaps"]).alias("gaps")),
+        lambda s: s["gaps"],
+    )
+    left_over = several.select("doc", F.explode(gap).alias("g")).select("doc", "g.start", "g.end").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gaps"))
+    return spans.where("start is not null"), left_over
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, start, end, source_doc_id, source_start, source_end, n_equal, passage_start, passage_end: positions in words,
-    ends exclusive. One row for each aligned piece of a passage of at least min_words words."""
+    ends exclusive. One row for each piece of min_words or more that a source holds."""
     spark = docs.sparkSession
     small_batches(spark)
-    n = partitions(spark)
-    n_blocks = BLOCKS_PER_PARTITION * n
-    texts = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    sent = written(texts.mapInArrow(_seeded(n_blocks), BUNDLE_SQL), "seeds")
-    by_block = lambda df: df.repartition(n, "block").sortWithinPartitions("block")
-    far = by_block(sent.where("kind = 2").select("block", "a")).mapInArrow(_matched(n_blocks), BUNDLE_SQL)
-    matches = by_block(sent.where("kind = 1").select("block", "a").unionByName(far.select("block", "a")))
-    found = written(matches.mapInArrow(_chained(min_words), "doc long, source long, segments binary"), "chains")
-
-    wanted = written(found.select(F.explode(F.array("doc", "source")).alias("doc_id")).distinct(), "wanted")
-    few = wanted.count() <= BROADCAST_ROWS
-    chosen = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    left = found.join(chosen.select(F.col("doc_id").alias("doc"), F.col("text").alias("doc_text")), "doc")
-    left = left.select("doc", "source", "segments", "doc_text").mapInArrow(_sliced, SLICED_SQL)
-    both = left.join(chosen.select(F.col("doc_id").alias("source"), F.col("text").alias("source_text")), "source")
-    spans = written(both.select("doc", "source", "segments", "first", "doc_text", "source_text").mapInArrow(_aligned, ALIGNED_SQL).distinct(), "aligned")
+    texts = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text")).where("text is not null")
+    texts = texts.select(_number(F.col("doc_id"), F.col("text")).alias("doc"), "doc_id", "text")
+    now, found = texts.withColumn("ranges", F.lit(None).cast("binary")), []
+    while True:
+        size = now.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        spans, left_over = _round(now, size, min_words)
+        found.append(spans)
+        left_over = written(left_over.mapInArrow(_ranged, "doc long, ranges binary"), "left-over")
+        n_left = left_over.count()
+        if n_left < 2:
+            break
+        now = written(texts.join(F.broadcast(left_over) if n_left <= BROADCAST_ROWS else left_over, "doc"), "left-over-texts")
+    spans = found[0]
+    for more in found[1:]:
+        spans = spans.unionByName(more)
 
-    order = Window.partitionBy("doc_id").orderBy("start", "end", "source_doc_id", "source_start")
+    order = Window.partitionBy("doc").orderBy("start", "end", "source", "source_start")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     numbered = spans.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("k", F.sum("new").over(order))
-    whole = Window.partitionBy("doc_id", "k")
+    whole = Window.partitionBy("doc", "k")
     out = numbered.withColumn("passage_start", F.min("start").over(whole)).withColumn("passage_end", F.max("end").over(whole))
-    return out.where(F.col("passage_end") - F.col("passage_start") >= min_words).drop("new", "k")
+    return out.select("doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "n_equal", "passage_start", "passage_end")
+
+
+def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data = [np.array([(g["start"], g["end"]) for g in gaps], "<i8").tobytes() for gaps in batch.column("gaps").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(data, pa.binary())], names=["doc", "ranges"])
+
+
+def _number(doc_id: Column, text: Column) -> Column:
+    return F.coalesce(doc_id, F.lit(NO_ID) + F.pmod(F.xxhash64(text), F.lit(NO_ID - 1)))
