@@ -15,9 +15,9 @@
    equal words, changed, added and missing ones alike, while equal ones prevail. Of the stretch so found the parts stay
    where an equal word counts 1 and any other one -UNEQUAL and that no cut would better; a part is a piece of the result if
    it alone, in either text, is min_words long. So a passage is one that a single source holds: what is made of short
-   parts of several sources is none. Where a run has chains with several sources and none gives a piece, another document
-   may still hold the whole of it, which the smaller ones hid; such runs alone go through all four steps once more, and
-   again, until none is left. Each time at least the smallest document leaves.
+   parts of several sources is none. Where a run has room for a passage beside its pieces, a document may still hold the
+   whole of it that smaller ones, which hold its parts, hid. Such rooms go through the four steps once more, with all seeds
+   of min_words words, so no exact passage is lost (an edited one, hidden so, is).
 
 The first holder of a passage is its source and is named as such; every other holder has rows of its own. Pieces of a
 document that overlap or touch form a passage.
@@ -140,17 +140,17 @@ def _by(x: np.ndarray, n: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % n
 
 
-def _inside(at: np.ndarray, ranges: bytes | None) -> np.ndarray:
+def _inside(at: np.ndarray, ranges: bytes | None, k: int) -> np.ndarray:
     """Places of seeds whose words all lie in one of the ranges (first word and end, one after the other), or all places."""
     if ranges is None:
         return at
     edges = np.frombuffer(ranges, "<i8").reshape(-1, 2)
     edges = edges[np.argsort(edges[:, 0])]
-    k = np.searchsorted(edges[:, 0], at, side="right") - 1
-    return at[(k >= 0) & (at + K <= edges[np.maximum(k, 0), 1])]
+    own = np.searchsorted(edges[:, 0], at, side="right") - 1
+    return at[(own >= 0) & (at + k <= edges[np.maximum(own, 0), 1])]
 
 
-def _seeded(n_blocks: int):
+def _seeded(n_blocks: int, k: int = K, window: int = WINDOW):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundle, held, size = TaskContext.get().partitionId() << 32, [], 0
 
@@ -170,9 +170,9 @@ def _seeded(n_blocks: int):
 
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for doc, ranges, (n, h) in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), ngram_hashes(texts, K)):
-                if n >= K:
-                    at = _inside(minimizers(h), ranges)
+            for doc, ranges, (n, h) in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), ngram_hashes(texts, k)):
+                if n >= k:
+                    at = _inside(minimizers(h, window), ranges, k)
                     own = np.zeros(len(at), SEED)
                     own["gram"], own["doc"], own["pos"] = h[at] & GRAM_MASK, doc, at
                     held.append(own)
@@ -280,15 +280,15 @@ def _followed(n_blocks: int):
     return per_partition
 
 
-def segments(pos: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def segments(pos: np.ndarray, at: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Matches of one pair, merged along diagonals: (pos, at, size in words, seeds)."""
     order = np.lexsort((pos, pos - at))
     pos, at = pos[order], at[order]
     new = np.ones(len(pos), bool)
-    new[1:] = (np.diff(pos - at) != 0) | (np.diff(pos) > MAX_GAP + K)
+    new[1:] = (np.diff(pos - at) != 0) | (np.diff(pos) > MAX_GAP + k)
     start = np.flatnonzero(new)
     end = np.append(start[1:], len(pos)) - 1
-    return pos[start], at[start], pos[end] - pos[start] + K, end - start + 1
+    return pos[start], at[start], pos[end] - pos[start] + k, end - start + 1
 
 
 class Fenwick:
@@ -313,7 +313,7 @@ class Fenwick:
         return found
 
 
-def chains(pos: np.ndarray, at: np.ndarray, size: np.ndarray, seeds: np.ndarray) -> list[list[int]]:
+def chains(pos: np.ndarray, at: np.ndarray, size: np.ndarray, seeds: np.ndarray, k: int = K) -> list[list[int]]:
     """Segments to chains, best first; each segment is in one chain at most.
 
     score(i) = weight(i) + max(0, max over j that end before i begins, in both texts, of score(j) - cost of the words
@@ -322,7 +322,7 @@ def chains(pos: np.ndarray, at: np.ndarray, size: np.ndarray, seeds: np.ndarray)
     n = len(pos)
     if n == 1:
         return [[0]]
-    weight = np.minimum(size, seeds * K).astype(float).tolist()
+    weight = np.minimum(size, seeds * k).astype(float).tolist()
     p, q = pos.tolist(), at.tolist()
     pe, qe = (pos + size).tolist(), (at + size).tolist()
     ends = sorted(set(qe))
@@ -353,14 +353,14 @@ def chains(pos: np.ndarray, at: np.ndarray, size: np.ndarray, seeds: np.ndarray)
     return out
 
 
-def pieces(pos: np.ndarray, at: np.ndarray) -> np.ndarray:
+def pieces(pos: np.ndarray, at: np.ndarray, k: int = K) -> np.ndarray:
     """Matches of one pair to segments numbered by chain; chains are cut where they leave more than MAX_GAP words."""
-    p, q, size, seeds = segments(pos, at)
+    p, q, size, seeds = segments(pos, at, k)
     out: list[tuple[int, int, int, int]] = []
     number = 0
-    for own in chains(p, q, size, seeds):
-        for k, i in enumerate(own):
-            if k and max(p[i] - out[-1][0] - out[-1][2], q[i] - out[-1][1] - out[-1][2]) > MAX_GAP:
+    for own in chains(p, q, size, seeds, k):
+        for nth, i in enumerate(own):
+            if nth and max(p[i] - out[-1][0] - out[-1][2], q[i] - out[-1][1] - out[-1][2]) > MAX_GAP:
                 number += 1
             out.append((int(p[i]), int(q[i]), int(size[i]), number))
         number += 1
@@ -392,7 +392,10 @@ def runs_of(spans: list[tuple[int, int]], min_words: int) -> list[tuple[int, int
 CHAINED_SQL = "doc long, source long, run long, run_end long, segments binary"
 
 
-def _chained(min_words: int):
+def _chained(min_words: int, k: int = K):
+    """The chains that may be min_words long with REACH words more at each end, and, without a source, the runs that have room
+    for a passage."""
+
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in _grouped(batches, "block"):
             matches = np.concatenate([_rows(a, MATCH) for _, _, a in blobs])
@@ -405,22 +408,25 @@ def _chained(min_words: int):
 
             def close():
                 spans, of = [], []
-                for k, (_, _, s) in enumerate(own):
+                for nth, (_, _, s) in enumerate(own):
                     starts = np.flatnonzero(np.concatenate([[True], s["chain"][1:] != s["chain"][:-1]]))
                     least, most = np.minimum.reduceat(s["pos"], starts), np.maximum.reduceat(s["pos"] + s["size"], starts)
                     spans += zip(least.tolist(), most.tolist())
-                    of += [(k, c) for c in s["chain"][starts].tolist()]
+                    of += [(nth, c) for c in s["chain"][starts].tolist()]
                 for first, end, run in runs_of(spans, min_words):
                     kept: dict[int, list[int]] = {}
                     for i in run:
-                        kept.setdefault(of[i][0], []).append(of[i][1])
-                    rows.extend((own[k][0], own[k][1], first, end, own[k][2][np.isin(own[k][2]["chain"], chosen)].tobytes()) for k, chosen in kept.items())
+                        if spans[i][1] - spans[i][0] + 2 * REACH >= min_words:
+                            kept.setdefault(of[i][0], []).append(of[i][1])
+                    if end - first >= min_words - 2 * WINDOW:
+                        rows.append((own[0][0], None, first, end, None))
+                    rows.extend((own[i][0], own[i][1], first, end, own[i][2][np.isin(own[i][2]["chain"], chosen)].tobytes()) for i, chosen in kept.items())
                 own.clear()
 
             for a, b in zip(cuts, cuts[1:]):
                 if own and own[-1][0] != doc[a]:
                     close()
-                own.append((int(doc[a]), int(source[a]), pieces(matches["pos"][a:b].astype(np.int64), matches["at"][a:b].astype(np.int64))))
+                own.append((int(doc[a]), int(source[a]), pieces(matches["pos"][a:b].astype(np.int64), matches["at"][a:b].astype(np.int64), k)))
             if own:
                 close()
             for i in range(0, len(rows), 4096):
@@ -519,22 +525,24 @@ def best_parts(stretches: list[tuple[int, int, int, int, int]]) -> list[tuple[in
 
 def aligned(x: list[bytes], y: list[bytes], parts: np.ndarray, min_words: int = 2 * K) -> list[tuple[int, int, int, int, int]]:
     """(start, end, source start, source end, equal words) of each piece of min_words or more."""
-    out = []
-    for c in np.unique(parts["chain"]):
-        own = parts[parts["chain"] == c]
-        own = own[np.argsort(own["pos"])]
-        p, q, size = own["pos"].tolist(), own["at"].tolist(), own["size"].tolist()
-        if p[-1] + size[-1] > len(x) or q[-1] + size[-1] > len(y):
-            continue  # another row of this id holds it
+    out: list[tuple[int, int, int, int, int]] = []
+    parts = parts[np.lexsort((parts["pos"], parts["chain"]))]
+    cuts = np.append(np.flatnonzero(np.concatenate([[True], parts["chain"][1:] != parts["chain"][:-1]])), len(parts)).tolist()
+    ranges = [(int(parts["pos"][b - 1] + parts["size"][b - 1] - parts["pos"][a]), a, b) for a, b in zip(cuts, cuts[1:])]
+    for _, a, b in sorted(ranges, key=lambda r: (-r[0], r[1])):  # a long one's extension holds short ones, which then are done
+        p, q, size = parts["pos"][a:b].tolist(), parts["at"][a:b].tolist(), parts["size"][a:b].tolist()
+        end, at = p[-1] + size[-1], q[-1] + size[-1]
+        if end > len(x) or at > len(y) or any(f[0] <= p[0] and end <= f[1] and f[2] <= q[0] and at <= f[3] for f in out):
+            continue  # beyond the end: another row of this id holds it
         middle = blocks_of(x, y, p, q, size)
         if not middle:
             continue  # a chance tie of hashes, or another row of this id
-        a, b, e = extended(x, y, middle[0][0] - 1, middle[0][2] - 1, -1)
-        left = [(middle[0][0] - a, middle[0][0], middle[0][2] - b, middle[0][2], e)] if a else []
-        a, b, e = extended(x, y, middle[-1][1], middle[-1][3], 1)
-        right = [(middle[-1][1], middle[-1][1] + a, middle[-1][3], middle[-1][3] + b, e)] if a else []
-        out += [s for s in best_parts(left + middle + right) if max(s[1] - s[0], s[3] - s[2]) >= min_words]
-    return sorted(set(out))
+        n, m, e = extended(x, y, middle[0][0] - 1, middle[0][2] - 1, -1)
+        left = [(middle[0][0] - n, middle[0][0], middle[0][2] - m, middle[0][2], e)] if n else []
+        n, m, e = extended(x, y, middle[-1][1], middle[-1][3], 1)
+        right = [(middle[-1][1], middle[-1][1] + n, middle[-1][3], middle[-1][3] + m, e)] if n else []
+        out += [s for s in best_parts(left + middle + right) if max(s[1] - s[0], s[3] - s[2]) >= min_words and s not in out]
+    return sorted(out)
 
 
 SLICED_SQL = "doc long, source long, run long, run_end long, segments binary, first long, doc_id long, doc_text binary"
@@ -563,7 +571,6 @@ ALIGNED = ("doc", "run", "run_end", "source", "doc_id", "start", "end", "source_
 
 def _aligned(min_words: int):
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The pieces; for chains that give none a row without a start."""
         last: tuple[bytes, list[bytes]] = (b"", [])
         for batch in batches:
             rows: list[tuple] = []
@@ -574,25 +581,26 @@ def _aligned(min_words: int):
                 if raw != last[0]:
                     last = (raw, words_of(raw))
                 found = aligned(words_of(texts[0][i].as_py()), last[1], np.frombuffer(batch.column("segments")[i].as_py(), SEGMENT), min_words)
-                rows += [(doc, run, end, source, doc_id, a + first, b + first, source_id, c, d, e) for a, b, c, d, e in found] or [(doc, run, end, source, doc_id, None, None, source_id, None, None, None)]
+                rows += [(doc, run, end, source, doc_id, a + first, b + first, source_id, c, d, e) for a, b, c, d, e in found]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=list(ALIGNED))
 
     return per_partition
 
 
-def _round(texts: DataFrame, size: int, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """texts: doc, doc_id, text, ranges (where its seeds may stand; null: anywhere). All pieces, and what is left to look into:
-    doc, ranges."""
+def _round(texts: DataFrame, size: int, min_words: int, k: int = K, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """texts: doc, doc_id, text, ranges (where its seeds may stand; null: anywhere). All pieces, and the rooms of runs beside
+    them: doc, gaps."""
     n_blocks = max(10 * partitions(texts.sparkSession), -(-size // BLOCK_BYTES))
     n = max(partitions(texts.sparkSession), n_blocks // 16)
     dealt = lambda df, key: df.repartition(n, key).sortWithinPartitions(key)
-    seeds = texts.select("doc", "text", "ranges").mapInArrow(_seeded(n_blocks), BUNDLE_SQL)
+    seeds = texts.select("doc", "text", "ranges").mapInArrow(_seeded(n_blocks, k, window), BUNDLE_SQL)
     slot = F.coalesce("block", F.lit(-1) - F.pmod(F.xxhash64("bundle"), F.lit(n_blocks)).cast("int"))
     met = written(dealt(seeds.withColumn("block", slot), "block").mapInArrow(_passed(_met(n_blocks)), BUNDLE_SQL), "matches")
     late = dealt(met.where(F.col("kind").isin(FOLLOWERS, TOLD)), "bundle").mapInArrow(_followed(n_blocks), BUNDLE_SQL)
     matches = met.where(F.col("kind") == MATCHES).unionByName(late)
-    found = written(dealt(matches, "block").mapInArrow(_chained(min_words), CHAINED_SQL), "chains")
+    found = written(dealt(matches, "block").mapInArrow(_chained(min_words, k), CHAINED_SQL), "chains")
+    runs, found = found.where("source is null"), found.where("source is not null")
 
     wanted = written(found.select(F.explode(F.array("doc", "source")).alias("doc")).distinct(), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
@@ -603,17 +611,16 @@ def _round(texts: DataFrame, size: int, min_words: int) -> tuple[DataFrame, Data
     both = both.select("doc", "source", "run", "run_end", "segments", "first", "doc_id", "doc_text", "source_doc_id", "source_text")
     spans = written(both.mapInArrow(_aligned(min_words), ", ".join(f"`{c}` long" for c in ALIGNED)).distinct(), "aligned")
 
-    # where several sources hold parts of a run and none a piece, another document may hold the whole of it
-    run = ["doc", "run", "run_end"]
-    several = spans.groupBy(*run).agg((F.min("source") < F.max("source")).alias("several"), F.array_sort(F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "end")))).alias("pieces")).where("several")
+    run = spans.select("doc", "run", "run_end", "start", "end").unionByName(runs.select("doc", "run", "run_end"), allowMissingColumns=True)
+    run = run.groupBy("doc", "run", "run_end").agg(F.array_sort(F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "end")))).alias("pieces"))
     gap = F.aggregate(
         F.concat("pieces", F.array(F.struct(F.col("run_end").alias("start"), F.col("run_end").alias("end")))),
         F.struct(F.col("run").alias("reach"), F.array().cast("array<struct<start:long,end:long>>").alias("gaps")),
-        lambda s, p: F.struct(F.greatest(s["reach"], p["end"]).alias("reach"), F.when(p["start"] - s["reach"] >= max(K, min_words - 2 * REACH), F.array_append(s["gaps"], F.struct(s["reach"].alias("start"), p["start"].alias("end")))).otherwise(s["gaps"]).alias("gaps")),
+        lambda s, p: F.struct(F.greatest(s["reach"], p["end"]).alias("reach"), F.when(p["start"] - s["reach"] >= min_words - 2 * WINDOW, F.array_append(s["gaps"], F.struct((s["reach"] - WINDOW).alias("start"), (p["start"] + WINDOW).alias("end")))).otherwise(s["gaps"]).alias("gaps")),
         lambda s: s["gaps"],
     )
-    left_over = several.select("doc", F.explode(gap).alias("g")).select("doc", "g.start", "g.end").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gaps"))
-    return spans.where("start is not null"), left_over
+    left_over = run.select("doc", F.explode(gap).alias("g")).select("doc", "g.start", "g.end").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gaps"))
+    return spans, left_over
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -623,19 +630,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small_batches(spark)
     texts = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text")).where("text is not null")
     texts = texts.select(_number(F.col("doc_id"), F.col("text")).alias("doc"), "doc_id", "text")
-    now, found = texts.withColumn("ranges", F.lit(None).cast("binary")), []
-    while True:
-        size = now.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        spans, left_over = _round(now, size, min_words)
-        found.append(spans)
-        left_over = written(left_over.mapInArrow(_ranged, "doc long, ranges binary"), "left-over")
-        n_left = left_over.count()
-        if n_left < 2:
-            break
-        now = written(texts.join(F.broadcast(left_over) if n_left <= BROADCAST_ROWS else left_over, "doc"), "left-over-texts")
-    spans = found[0]
-    for more in found[1:]:
-        spans = spans.unionByName(more)
+    length = lambda df: df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    spans, rooms = _round(texts.withColumn("ranges", F.lit(None).cast("binary")), length(texts), min_words)
+    rooms = written(rooms.mapInArrow(_ranged, "doc long, ranges binary"), "rooms")
+    n = rooms.count()
+    if n > 1 and min_words > K:
+        narrow = written(texts.join(F.broadcast(rooms) if n <= BROADCAST_ROWS else rooms, "doc"), "room-texts")
+        spans = spans.unionByName(_round(narrow, length(narrow), min_words, min_words, 1)[0])
 
     order = Window.partitionBy("doc").orderBy("start", "end", "source", "source_start")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
