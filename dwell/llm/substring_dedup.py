@@ -16,8 +16,9 @@
    where an equal word counts 1 and any other one -UNEQUAL and that no cut would better; a part is a piece of the result if
    it alone, in either text, is min_words long. So a passage is one that a single source holds: what is made of short
    parts of several sources is none. Where a run has room for a passage beside its pieces, a document may still hold the
-   whole of it that smaller ones, which hold its parts, hid. Such rooms go through the four steps once more, with all seeds
-   of min_words words, so no exact passage is lost (an edited one, hidden so, is).
+   whole of it that smaller ones, which hold its parts, hid. Such rooms (of REACH words or more, and min_words about them)
+   go through the four steps once more, with all seeds of min_words words, so no exact passage is lost (an edited one,
+   hidden so, is).
 
 The first holder of a passage is its source and is named as such; every other holder has rows of its own. Pieces of a
 document that overlap or touch form a passage.
@@ -145,9 +146,7 @@ def _inside(at: np.ndarray, ranges: bytes | None, k: int) -> np.ndarray:
     if ranges is None:
         return at
     edges = np.frombuffer(ranges, "<i8").reshape(-1, 2)
-    edges = edges[np.argsort(edges[:, 0])]
-    own = np.searchsorted(edges[:, 0], at, side="right") - 1
-    return at[(own >= 0) & (at + k <= edges[np.maximum(own, 0), 1])]
+    return at[np.any([(at >= a) & (at + k <= b) for a, b in edges.tolist()], axis=0)]
 
 
 def _seeded(n_blocks: int, k: int = K, window: int = WINDOW):
@@ -418,7 +417,7 @@ def _chained(min_words: int, k: int = K):
                     for i in run:
                         if spans[i][1] - spans[i][0] + 2 * REACH >= min_words:
                             kept.setdefault(of[i][0], []).append(of[i][1])
-                    if end - first >= min_words - 2 * WINDOW:
+                    if end - first >= min_words - 2 * WINDOW:  # an exact passage shows seeds over all its words but these
                         rows.append((own[0][0], None, first, end, None))
                     rows.extend((own[i][0], own[i][1], first, end, own[i][2][np.isin(own[i][2]["chain"], chosen)].tobytes()) for i, chosen in kept.items())
                 own.clear()
@@ -616,7 +615,7 @@ def _round(texts: DataFrame, size: int, min_words: int, k: int = K, window: int
     gap = F.aggregate(
         F.concat("pieces", F.array(F.struct(F.col("run_end").alias("start"), F.col("run_end").alias("end")))),
         F.struct(F.col("run").alias("reach"), F.array().cast("array<struct<start:long,end:long>>").alias("gaps")),
-        lambda s, p: F.struct(F.greatest(s["reach"], p["end"]).alias("reach"), F.when(p["start"] - s["reach"] >= min_words - 2 * WINDOW, F.array_append(s["gaps"], F.struct((s["reach"] - WINDOW).alias("start"), (p["start"] + WINDOW).alias("end")))).otherwise(s["gaps"]).alias("gaps")),
+        lambda s, p: F.struct(F.greatest(s["reach"], p["end"]).alias("reach"), F.when(p["start"] - s["reach"] >= REACH, F.array_append(s["gaps"], F.struct((s["reach"] - min_words).alias("start"), (p["start"] + min_words).alias("end")))).otherwise(s["gaps"]).alias("gaps")),
         lambda s: s["gaps"],
     )
     left_over = run.select("doc", F.explode(gap).alias("g")).select("doc", "g.start", "g.end").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gaps"))
