@@ -20,6 +20,7 @@ from dwell.operators import explore, fill, minutes, visits
 from dwell.operators.covariates import covariates
 from dwell.operators.stays import Clock
 from dwell.plans import inputs as I
+from dwell.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -404,8 +405,20 @@ def window_quantiles(spark, sf_dir):
 
 for _h, _f in (("sha256_64", "sha256"), ("md5_64", "md5")):
     query(f"hash_{_h}", f"SELECT event_id, {_UHASH.format(h=f'{_f}(CAST(user_id AS VARCHAR))')} AS h FROM events")(lambda spark, sf_dir, m=_h: I.table(spark, sf_dir, "events").select("event_id", uid64(F.col("user_id").cast("string"), m).alias("h")))
-for _h in ("xxh64", "pandas_64"):
-    query(f"hash_{_h}")(lambda spark, sf_dir, m=_h: I.table(spark, sf_dir, "events").select("event_id", uid64(F.col("user_id").cast("string"), m).alias("h")))
+#: Names with their 64-bit hashes by the libraries that define them (xxHash with seed 0, pandas.util.hash_pandas_object).
+HASHED = (
+    ("a", 15154266338359012955, 13950350942979735504),
+    ("abc", 4952883123889572249, 8952642330259793944),
+    ("user-1", 11633770265628666856, 10727632427313137042),
+    ("0", 7148434200721666028, 8872142683093127234),
+    ("149", 11878172573203219337, 14987799811665519738),
+    ("Zoë", 6304431168280109521, 8751914635655007618),
+    ("用户甲", 4548582781377684622, 10112576703379786778),
+    ("xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx", 10551747345416853717, 17355273493356824715),
+    ("the same name, longer than thirty-two bytes", 9838935690939847261, 12657166241912441115),
+)
+for _h, _at in (("xxh64", 1), ("pandas_64", 2)):
+    query(f"hash_{_h}", "SELECT name, h FROM (VALUES " + ", ".join(f"('{v[0]}', '{v[_at]}')" for v in HASHED) + ") t(name, h)")(lambda spark, sf_dir, m=_h: spark.createDataFrame([(v[0],) for v in HASHED], "name string").select("name", uid64(F.col("name"), m).alias("h")))
 
 
 @query("grid_uid_orders", "SELECT event_id, 'grid_4403_' || CAST(event_id % 10 AS VARCHAR) || '_' || CAST(event_id // 10 AS VARCHAR) AS col_row, 'grid_4403_' || CAST(event_id // 10 AS VARCHAR) || '_' || CAST(event_id % 10 AS VARCHAR) AS row_col FROM events")
@@ -454,6 +467,96 @@ def explore_top_units(spark, sf_dir):
     return explore.top_units(_p3_result(spark, sf_dir))
 
 
+# ---- clocks, gaps in the data, files -------------------------------------------------------------------------------
+
+
+def _marked(spark, stays, **more):
+    o = fill.Options(**more)
+    return fill.marked(stays, fill.Cells(I.GRID, code=I.CODE, output_id=True), o, None, _MAP), o
+
+
+@query("epoch_seconds_to_zone", f"WITH {I.STAYS_SQL} SELECT uuid, (start_ms // 1000) * 1000 + 28800000 AS start, (end_ms // 1000) * 1000 + 28800000 AS \"end\" FROM sp")
+def epoch_seconds_to_zone(spark, sf_dir):
+    s = I.stays(spark, sf_dir).withColumns({c: F.expr(f"{c} div 1000") for c in ("start_ms", "end_ms")})
+    return _marked(spark, s, clock=Clock("s", True, 8))[0].select("uuid", "start", "end")
+
+
+@query("times_as_text_and_null", f"""WITH {I.STAYS_SQL} SELECT event_id % 7 = 0 AS missing, 'compat' AS mode, CASE WHEN event_id % 7 = 0 THEN -1 ELSE start_ms END + 28800000 AS start, end_ms + 28800000 AS "end" FROM sp
+  UNION ALL SELECT event_id % 7 = 0, 'invalid', CASE WHEN event_id % 7 = 0 THEN -1 ELSE start_ms + 28800000 END, end_ms + 28800000 FROM sp""")
+def times_as_text_and_null(spark, sf_dir):
+    """Times as text, of which some are empty or no numbers."""
+    i = F.col("event_id")
+    s = I.stays(spark, sf_dir).withColumn("missing", i % 7 == 0).withColumn("start_ms", F.when(i % 14 == 0, F.lit("")).when(i % 7 == 0, F.lit(None)).otherwise(F.col("start_ms").cast("string")))
+    parts = [s.select("missing", F.lit(m).alias("mode"), Clock(null_time=m).local(s, "start_ms").alias("start"), Clock(null_time=m).local(s, "end_ms").alias("end")) for m in ("compat", "invalid")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("rows_with_faults", f"""WITH {I.STAYS_SQL}, f AS (SELECT *, x + 0.25 AS fx, CAST(floor(y / 500) * 10 + floor((x + 0.25) / 500) AS BIGINT) AS cell FROM sp)
+  SELECT uuid, cell AS unit, count(*) AS n, count(*) FILTER (WHERE end_ms - start_ms >= 300000) AS n_intervals FROM f
+  WHERE event_id % 9 <> 0 AND event_id % 10 <> 0 AND event_id % 23 <> 0 AND event_id % 25 <> 0 AND end_ms >= start_ms AND fx >= 0 AND y >= 0 AND fx <= 5000 AND y <= 5000 AND floor(fx / 500) < 10 AND floor(y / 500) < 10 GROUP BY uuid, cell""")
+def rows_with_faults(spark, sf_dir):
+    """Empty and null names, coordinates that are fractions, NaN or null: what the filters leave."""
+    i = F.col("event_id")
+    s = I.stays(spark, sf_dir).withColumns({"uuid": F.when(i % 9 == 0, F.lit("")).when(i % 10 == 0, F.lit(None)).otherwise(F.col("uuid")), "x": F.when(i % 23 == 0, F.lit(float("nan"))).when(i % 25 == 0, F.lit(None)).otherwise(F.col("x") + 0.25)})
+    rows, o = _marked(spark, s, clock=LOCAL)
+    return rows.where(fill._kept(o)).groupBy("uuid", "unit").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_interval").alias("n_intervals"))
+
+
+@query("hex_counters", SQL["strict_filled_qa"].replace(_CELL_SQL, "cells AS (SELECT *, event_id % 40 < 30 AS inside FROM sp)").replace("filtered_oob_grid", "filtered_oob_hex, CAST(0 AS BIGINT) AS invalid_coord_rows"))
+def hex_counters(spark, sf_dir):
+    o = fill.Options(clock=LOCAL)
+    city = spark.range(30).select((F.lit(617700169958293503) + F.col("id") * 262144).alias("h3_int"))
+    hexes = fill.Hexes(city, code="440300", cell_column="h3_int")
+    return fill.row_counts(fill.marked(I.stays(spark, sf_dir), hexes, o, None, _MAP), hexes, o)
+
+
+@query("visit_max_rows", GROUPED_SQL + "SELECT uuid, poi_id, n AS visit_count FROM g")
+def visit_max_rows(spark, sf_dir):
+    """A limit above the number of rows changes nothing."""
+    return visits.profile(I.visit_records(spark, sf_dir), I.RHYTHM, max_rows=2_000_000_000).select("uuid", "poi_id", "visit_count")
+
+
+_FILED = ["event_id", "uuid", "poi_id", "start_ms", "end_ms", "source", "x", "y"]
+_FILED_SQL = f"WITH {I.STAYS_SQL} SELECT event_id, uuid, poi_id, start_ms, end_ms, source, {u('x', 'x')}, {u('y', 'y')} FROM sp"
+
+
+@query("csv_files", _FILED_SQL)
+def csv_files(spark, sf_dir):
+    """Written as CSV in two folders and read back together; types come from the first file."""
+    s, folder = I.stays(spark, sf_dir).select(*_FILED), I.folder(spark, "csv")
+    for k in (0, 1):
+        sinks.write_csv(s.where(F.col("event_id") % 2 == k), f"{folder}/part{k}.csv", None)
+    return readers.read(spark, [f"{folder}/part{k}.csv" for k in (0, 1)]).withColumn("uuid", F.col("uuid").cast("string")).withColumns({c: F.col(c).cast("long") for c in ("event_id", "poi_id")})
+
+
+@query("parquet_files", _FILED_SQL)
+def parquet_files(spark, sf_dir):
+    """The same through zstd parquet, as visit records and side tables are read."""
+    s, folder = I.stays(spark, sf_dir).select(*_FILED), I.folder(spark, "parquet")
+    sinks.write_parquet(s.where("event_id % 3 = 0"), f"{folder}/a.parquet")
+    sinks.write_parquet(s.where("event_id % 3 <> 0"), f"{folder}/b.parquet", files=1)
+    return readers.read_visits(spark, f"{folder}/a.parquet").unionByName(readers.read_table(spark, f"{folder}/b.parquet"))
+
+
+@query("empty_output", """SELECT * FROM (VALUES ('grid_uid', 'string', 0), ('grid_id', 'int', 0), ('window', 'string', 0), ('is_weekend', 'boolean', 0), ('uuid', 'string', 0), ('tau_strict_min', 'int', 0), ('tau_fill_min', 'double', 0), ('tau_filled_min', 'double', 0)) t(name, kind, n_rows)""")
+def empty_output(spark, sf_dir):
+    """No stay at all: the result is written with its columns and types, and no row."""
+    path = f"{I.folder(spark, 'empty')}/result.parquet"
+    args = _p3(spark, sf_dir)
+    sinks.write_parquet(fill.strict_filled(args[0].where("false"), *args[1:]), path)
+    back = spark.read.parquet(path)
+    return spark.createDataFrame([(f.name, f.dataType.simpleString(), back.count()) for f in back.schema], "name string, kind string, n_rows int")
+
+
+@query("figures_file", SQL["strict_filled_qa"])
+def figures_file(spark, sf_dir):
+    """Quality figures through the CSV file with a byte order mark."""
+    args = _p3(spark, sf_dir)
+    path = f"{I.folder(spark, 'figures')}/qa_summary.csv"
+    sinks.write_figures(fill.row_counts(fill.marked(*args), args[1], args[2]).first().asDict(), path)
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

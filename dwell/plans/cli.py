@@ -111,7 +111,7 @@ def _run_filled(spark: SparkSession, a: argparse.Namespace, units, value: str |
     users = readers.read_table(spark, a.uuid_table) if a.uuid_table else None
     stages = f"{a.tmp_root.rstrip('/') if a.tmp_root else folder}/tmp_{name}_strict_filled_{a.city}"
     rows = fill.marked(readers.read(spark, a.staypoints, a.staypoints_format), units, options, users, given)
-    if not (a.resume_stage2 and Path(stages).exists()):
+    if not (a.resume_stage2 and sinks.complete(stages)):
         with sinks.step("observations"):
             sinks.write_parquet(fill.observations(rows, options), stages)
     seen = spark.read.parquet(stages)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession, what: str) -> str:
+    """A new folder that driver and executors share: under spark.checkpoint.dir, or a temporary one on a local master."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+        base = f"file://{tempfile.mkdtemp(prefix='dwell-files-')}"
+    return f"{base.rstrip('/')}/dwell-{what}-{uuid.uuid4().hex}"
+
+
 def epoch_ms(c: Column) -> Column:
     """Of a time stamp without a zone, whatever the session's zone is."""
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
