@@ -20,15 +20,18 @@ BATCH_ROWS = 512
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or on a local master a temporary one where that
+    is unset. A path without a scheme is one of the default file system."""
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-        if base is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dwell-checkpoint-"))
-            base = spark.sparkContext.getCheckpointDir()
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="dwell-checkpoint-"))
+        base = context.getCheckpointDir()
     if "://" not in base and not base.startswith("file:"):
-        base = "file://" + base
+        path = context._jvm.org.apache.hadoop.fs.Path(base)
+        base = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
     return base.rstrip("/")
 
 
@@ -50,6 +53,15 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def drop(df: DataFrame) -> None:
+    """Delete a table that written() returned, with its folder. Whatever is still to be read from it must not need it any more."""
+    context = df.sparkSession.sparkContext
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/dwell-" in name:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

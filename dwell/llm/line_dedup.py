@@ -7,7 +7,9 @@ shards, and each shard becomes a minimal perfect hash with an array of 64-bit fi
 file in the shared folder. Documents then probe those arrays, shard by shard, without a join and without a shuffle.
 
 Scale: hashes below min_docs never enter the index, so it holds at most (lines / min_docs) entries of 12 bytes and 4
-bits each. A Python worker keeps at most CACHE_BYTES of shards; a batch visits every shard that it needs once.
+bits each. A Python worker keeps at most CACHE_BYTES of shards; texts are gathered to GATHER_BYTES, which visit every
+shard that they need once. Where the index outgrows the cache (some ten million frequent lines), each gathering reads
+the shards that it needs anew.
 
 Edge cases: a null or empty text is one empty line; a line of white space has an empty key and always stays; equal rows
 and rows of one id count as documents of their own; a document may lose all lines and then has an empty text; input
@@ -27,11 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dwell.llm import mph
-from dwell.llm.common import SPACE, get_file, new_folder, packed, partitions, put_file, small_batches, unpacked, written
+from dwell.llm.common import SPACE, get_file, new_folder, packed, partitions, put_file, quoted, small_batches, unpacked, written
 
 MIN_DOCS = 10
 KEYS_IN_SHARD = 200_000
 CACHE_BYTES = 128 << 20
+#: Bytes of text that are probed together.
+GATHER_BYTES = 8 << 20
 OUTPUTS = ("text", "n_lines", "n_dropped")
 
 
@@ -136,7 +140,7 @@ def _loaded(uri: str):
 def build_index(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = 1) -> LineIndex:
     spark = docs.sparkSession
     small_batches(spark)
-    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counted(min_chars), "hi long, lo long")
+    found = docs.select(F.col(quoted(text_col)).cast("string").alias("text")).mapInArrow(_counted(min_chars), "hi long, lo long")
     frequent = written(found.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs), "lines")
     n_shards = max(1, -(-frequent.count() // KEYS_IN_SHARD))
     folder = new_folder(spark, "line-index")
@@ -155,9 +159,23 @@ def _with_shard(n_shards: int):
     return per_batch
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int = GATHER_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they hold so many bytes: each needed shard is visited once for all of them."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.column(0).nbytes
+        if n >= size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _probed(index: LineIndex, min_docs: int, min_chars: int):
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches):
             texts = [t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]
             keys = [line_keys(t) for t in texts]
             flat = [k for doc in keys for k in doc]
@@ -184,7 +202,7 @@ def line_dedup(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS
     index = build_index(docs, text_col, min_docs, min_chars)
     columns = [c for c in docs.columns if c != text_col]
     row = packed(docs, columns)
-    whole = docs.select(F.col(text_col).cast("string").alias("text"), row.alias("row"))
+    whole = docs.select(F.col(quoted(text_col)).cast("string").alias("text"), row.alias("row"))
     out = whole.mapInArrow(_probed(index, min_docs, min_chars), _out_schema(whole))
     return out.select(*unpacked(columns, OUTPUTS), F.col("text").alias(text_col), "n_lines", "n_dropped")
 

@@ -82,19 +82,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 OP2_SQL = r"""
 WITH split AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), line AS (
-  SELECT doc_id, i, lines[i] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM split)
+  SELECT r, doc_id, i, lines[i] AS line FROM (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM split)
 ), keyed AS (
   SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line
 ), gone AS (
-  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
 ), marked AS (
   SELECT keyed.*, gone.key IS NOT NULL AS drop FROM keyed LEFT JOIN gone ON keyed.key = gone.key
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE drop) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT drop), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY r, doc_id
 """
 
 OP8_SQL = r"""
