@@ -2,8 +2,10 @@
 
 Words are lower-cased and stripped of punctuation at their ends. A template's telling words are those outside a list of
 function words; coverage of MIN_COVERAGE cannot come about without one of them, so a place in a text is looked at only
-around such a word, and only if enough of the template's words stand there at all (both tests lose nothing). There the
-window and the template are aligned: equal words at both ends first, then the words that are unique to both sides are
+around such a word. The window begins as many words before the first one found as may then stand there: those of the
+template before its last telling word that coverage lets be first, and SLACK for words put in between. It ends where the
+template, so begun, would end, with SLACK. Only windows that hold enough of the template's words at all, counted as the
+window slides, are aligned: equal words at both ends first, then the words that are unique to both sides are
 anchors, of which the longest increasing subsequence stays, and the gaps between anchors are aligned in the same way;
 gaps without anchors fall back on the longest common subsequence. Coverage is the share of the template's words that
 are aligned; the words that tell a licence from its siblings (TELLING) must be among them. Where found places overlap,
@@ -50,7 +52,7 @@ class Template:
     name: str
     words: tuple[bytes, ...]
     telling: frozenset[bytes]
-    lead: int  # words before the first telling one
+    lead: int  # words that may stand before the first telling one that is still there
     phrases: tuple[tuple[bytes, ...], ...] = ()  # what tells it from its siblings: all of these must be aligned
 
     @classmethod
@@ -60,7 +62,10 @@ class Template:
         n = sum(w in telling for w in words)
         if len(words) - n >= math.ceil(MIN_COVERAGE * len(words)):
             raise ValueError(f"{name} has too few telling words")
-        return cls(name, words, telling, next(i for i, w in enumerate(words) if w in telling), tuple(tuple(words_of(p.encode())) for p in TELLING.get(name, ()) if _within(tuple(words_of(p.encode())), words)))
+        # at most this many words are missing or changed, so one of the first gone + 1 telling words is there
+        gone = len(words) - math.ceil(MIN_COVERAGE * len(words))
+        lead = [i for i, w in enumerate(words) if w in telling][: gone + 1][-1]
+        return cls(name, words, telling, lead, tuple(tuple(words_of(p.encode())) for p in TELLING.get(name, ()) if _within(tuple(words_of(p.encode())), words)))
 
     def told(self, pairs: list[tuple[int, int]]) -> bool:
         """Whether each phrase is aligned somewhere, word after word."""
@@ -157,21 +162,40 @@ def notices(words: list[bytes], templates: list[Template]) -> list[tuple[str, in
         bag = Counter(t.words)
         if any(w not in present for p in t.phrases for w in p) or sum(min(n, present.get(w, 0)) for w, n in bag.items()) < need:
             continue
-        after = 0
+        before = math.ceil(SLACK * t.lead) + 2
+        after = start = end = shared = 0
+        seen: Counter = Counter()
+
+        def put(w: bytes, by: int) -> int:
+            """Change the window by one word; by how much the words it shares with the template change."""
+            if w not in bag:
+                return 0
+            seen[w] += by
+            return by if seen[w] <= bag[w] - (by < 0) else 0
+
         for h in hits:
             if h < after or words[h] not in t.telling:
                 continue
-            start = max(after, h - t.lead - 2)
-            window = words[start : h + span]
-            if sum((Counter(w for w in window if w in bag) & bag).values()) < need:
+            first, last = max(after, h - before), min(len(words), h + span)
+            if first >= end:  # nothing in common with the window before
+                seen.clear()
+                start = end = first
+                shared = 0
+            while end < last:
+                shared += put(words[end], 1)
+                end += 1
+            while start < first:
+                shared += put(words[start], -1)
+                start += 1
+            if shared < need:
                 continue
-            pairs = align(window, t.words)
+            window = words[start:end]
             # words far before the rest belong to the text around
-            pairs = _dense(pairs, span)
+            pairs = _dense(align(window, t.words), span)
             if len(pairs) >= need and t.told(pairs):
-                first, last = start + pairs[0][0], start + pairs[-1][0] + 1
-                found.append((t.name, first, last, len(pairs), len(pairs) / len(t.words)))
-                after = last
+                a, b = start + pairs[0][0], start + pairs[-1][0] + 1
+                found.append((t.name, a, b, len(pairs), len(pairs) / len(t.words)))
+                after = b
     found.sort(key=lambda f: (-f[3], -f[4], f[1], f[0]))
     kept: list[tuple[str, int, int, int, float]] = []
     for f in found:

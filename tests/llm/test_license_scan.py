@@ -65,6 +65,30 @@ def test_each_sibling_whole_and_edited_outside_its_telling_words(name):
         assert got == name and n >= len(w) - edits - 2
 
 
+@pytest.mark.parametrize("where", ["anywhere", "front"])
+def test_edited_notices_against_whole_alignment(where):
+    """Whatever notice the alignment of its whole surroundings covers far enough is found, wherever its words are changed."""
+    rng, missed, tried = random.Random(where), [], 0
+    for name, text in TEMPLATES.items():
+        t = L.Template.of(name, text)
+        if len(t.words) < 20:
+            continue
+        for _ in range(25):
+            w = text.split()
+            n = rng.randint(0, len(w) // 5)
+            for k in sorted(rng.sample(range(len(w) if where == "anywhere" else min(len(w), 2 * n + 2)), n), reverse=True):
+                kind = rng.random()
+                w[k : k + 1] = ["changed%d" % k] if kind < 0.6 else [] if kind < 0.8 else [w[k], "more%d" % k]
+            around = L.words_of(f"{prose(rng, 40)} {' '.join(w)} {prose(rng, 40)}".encode())
+            pairs = L.align(around, t.words)
+            if len(pairs) < L.MIN_COVERAGE * len(t.words) or not t.told(pairs):
+                continue
+            tried += 1
+            if not any(f[0] == name for f in L.notices(around, [t])):
+                missed.append((name, len(pairs) / len(t.words)))
+    assert tried > 100 and not missed, (tried, missed)
+
+
 def test_siblings_are_told_apart(spark):
     gnu = lambda name, version: f"This program is free software; you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
     cases = [
