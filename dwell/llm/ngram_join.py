@@ -13,13 +13,15 @@ link when 100 * overlap >= 80 * union; the result has the connected components o
    by frequency, as far as the prefix reaches. Nearly all documents end here with nothing left.
 4. Clusters. Classes that share a prefix n-gram are tied to that n-gram's smallest class, a number of ties linear in
    the postings; connected components of the ties are clusters. Links never leave a cluster.
-5. Product. A cluster of more than BLOCK classes (or BLOCK_GRAMS n-grams) is cut into blocks, and each pair of blocks is a task of its own. A
-   task multiplies the incidence matrix of its classes with its transpose, chunk by chunk of n-grams, accumulating
+5. Product. A cluster of more than BLOCK classes (or BLOCK_GRAMS n-grams) is cut by the size of its sets, each step wide
+   enough that linked sets are of one step or of neighbours, and each step into blocks; each pair of blocks of one step or of
+   neighbours is a task of its own, others cannot reach the bound and are never made. A task multiplies the incidence matrix of its classes with its transpose, chunk by chunk of n-grams, accumulating
    overlaps; pairs whose sizes or overlaps fall below the bound go. Of the links only a spanning forest is emitted, at
    most one row for each class, so copies are never expanded into pairs. A last run of components joins the forests.
 
 Scale: moved are about 12 bytes for SHARE of all n-grams, once, 18 for those of them that repeat, and the sets of clustered classes, as often as their
-cluster has blocks. A cluster of c classes costs (c / BLOCK) ** 2 / 2 tasks. Nothing is collected but counts. Hashes
+step of sizes and its neighbours have blocks. A step of c classes costs (c / BLOCK) ** 2 / 2 tasks. Blocks of n-grams are as
+many as the bytes of all texts ask for, so what a task holds does not grow with the input. Nothing is collected but counts. Hashes
 have 64 bits: two different sets of one name (chance n ** 2 / 2 ** 65) would be taken for one class.
 
 Edge cases: null and empty texts and texts without words have no set, link with nothing and are their own component;
@@ -30,6 +32,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +52,7 @@ PERCENT = 80
 SHARE = 0.5
 FLUSH = 1 << 18  # n-grams that a task bundles before it sends them
 BLOCKS_PER_PARTITION = 2
+BLOCK_BYTES = 32 << 20  # of text, at most, for each block of n-grams
 BLOCK = 512
 BLOCK_GRAMS = 1 << 18
 CHUNK = 2048  # columns of the incidence matrix in one product
@@ -232,6 +236,9 @@ def _prefixes(percent: int, share: float):
     return per_partition
 
 
+CHOSEN = ["node", "cluster", "step", "n_blocks", "n_up", "n_down", "at"]
+
+
 def _sets(n_words: int):
     """The sets of classes that a cluster holds, from the text of one document each."""
 
@@ -243,8 +250,8 @@ def _sets(n_words: int):
                 if len(own) and set_name(own) == name:  # another document may have the same id
                     keep.append(i)
                     sets.append(own.tobytes())
-            rows = batch.select(["node", "cluster", "n_blocks", "at"]).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sets, pa.binary())], names=["node", "cluster", "n_blocks", "at", "grams"])
+            rows = batch.select(CHOSEN).take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sets, pa.binary())], names=[*CHOSEN, "grams"])
 
     return per_partition
 
@@ -317,7 +324,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     small_batches(spark)
     n = partitions(spark)
     texts = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text"))
-    n_blocks = BLOCKS_PER_PARTITION * n
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = max(BLOCKS_PER_PARTITION * n, -(-size // BLOCK_BYTES))
+    n_tasks, n_class_blocks = max(n, n_blocks // 8), max(n, n_blocks // 2)
 
     sent = written(texts.mapInArrow(_sent(n_words, percent, SHARE, n_blocks), SENT_SQL), "sent")
     own = sent.where("kind = 0").select("doc_id", "node", "name", "n", "n_low")
@@ -326,10 +335,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = written(nodes.groupBy("name").agg(F.min("node").alias("class"), F.min("least").alias("least"), F.first("n").alias("n")), "classes")
     copies = nodes.join(classes.select("name", "class"), "name").where("node <> class").select("node", "class")
 
-    dealt = sent.where("kind = 1").select("block", "node", "grams", "nodes").repartition(n, "block").sortWithinPartitions("block")
-    shared = dealt.mapInArrow(_shared(n), SHARED_SQL)
-    named = nodes.mapInArrow(_blocked(n), SHARED_SQL)
-    met = shared.unionByName(named).repartition(n, "block").sortWithinPartitions("block")
+    dealt = sent.where("kind = 1").select("block", "node", "grams", "nodes").repartition(n_tasks, "block").sortWithinPartitions("block")
+    shared = dealt.mapInArrow(_shared(n_class_blocks), SHARED_SQL)
+    named = nodes.mapInArrow(_blocked(n_class_blocks), SHARED_SQL)
+    met = shared.unionByName(named).repartition(n_tasks, "block").sortWithinPartitions("block")
     postings = met.mapInArrow(_prefixes(percent, SHARE), POSTINGS_SQL)
     postings = written(postings.join(copies, "node", "left").select("gram", F.coalesce("class", "node").alias("node")), "postings")
 
@@ -338,16 +347,25 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     clusters = components(ties).select(F.col("v").alias("node"), F.col("label").alias("cluster"))
 
     members = written(clusters.join(classes.select(F.col("class").alias("node"), "name", "least", "n"), "node"), "members")
-    sizes = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("n_blocks"))
-    wanted = members.join(sizes, "cluster")
-    wanted = written(wanted.select("node", "name", "cluster", "n_blocks", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("at"), "least"), "wanted")
+    n_blocks_of = F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_GRAMS)).cast("int")
+    totals = members.groupBy("cluster").agg(n_blocks_of.alias("n_blocks"))
+    # sizes of linked sets differ by a factor of 100 / percent at most; a little more makes up for rounding
+    step = F.floor(F.log("n") / (math.log(100 / percent) * (1 + 1e-9)) if percent < 100 else F.col("n")).cast("int")
+    stepped = members.join(totals, "cluster").withColumn("step", F.when(F.col("n_blocks") > 1, step).otherwise(F.lit(0))).drop("n_blocks")
+    groups = written(stepped.groupBy("cluster", "step").agg(n_blocks_of.alias("n_blocks")), "steps")
+    beside = lambda by, name: groups.select("cluster", (F.col("step") + by).alias("step"), F.col("n_blocks").alias(name))
+    wanted = stepped.join(groups.join(beside(-1, "n_up"), ["cluster", "step"], "left").join(beside(1, "n_down"), ["cluster", "step"], "left"), ["cluster", "step"])
+    wanted = written(wanted.select("node", "name", "cluster", "step", "n_blocks", "n_up", "n_down", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("at"), "least"), "wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    chosen = texts.join(wanted, texts.doc_id.eqNullSafe(F.col("least"))).select("node", "name", "cluster", "n_blocks", "at", "text")
-    sets = chosen.mapInArrow(_sets(n_words), "node long, cluster long, n_blocks int, at int, grams binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    pairs = sets.select("*", other.alias("other")).select("node", "grams", "cluster", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
-    found = pairs.groupBy("cluster", "i", "j").applyInArrow(_product(percent), "a long, b long")
+    chosen = texts.join(wanted, texts.doc_id.eqNullSafe(F.col("least"))).select(*CHOSEN, "name", "text")
+    sets = chosen.mapInArrow(_sets(n_words), ", ".join(f"{c} {'long' if c in ('node', 'cluster') else 'int'}" for c in CHOSEN) + ", grams binary")
+    c, at = F.col("step"), F.col("at")
+    pair = lambda s, i, t, j: F.struct(s.alias("s"), i.alias("i"), t.alias("t"), j.alias("j"))
+    each = lambda count, f: F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), f)).otherwise(F.array().cast("array<struct<s:int,i:int,t:int,j:int>>"))
+    others = F.concat(each("n_blocks", lambda o: pair(c, F.least(at, o), c, F.greatest(at, o))), each("n_up", lambda o: pair(c, at, c + 1, o)), each("n_down", lambda o: pair(c - 1, o, c, at)))
+    pairs = sets.select("node", "grams", "cluster", F.explode(others).alias("p")).select("node", "grams", "cluster", "p.*")
+    found = pairs.groupBy("cluster", "s", "i", "t", "j").applyInArrow(_product(percent), "a long, b long")
     joined = components(found)
 
     named = classes.join(joined, classes["class"] == joined.v, "left").select("name", "least", F.coalesce("label", "class").alias("label"))
