@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
@@ -58,9 +56,3 @@ def unsigned(key: Column) -> Column:
 
 def uid64(name: Column, method: str = "sha256_64") -> Column:
     return unsigned(uid_key(name, method))
-
-
-def reference_uid64(name: str, method: str = "sha256_64") -> int:
-    """The same in plain Python, for tests."""
-    digest = (hashlib.sha256 if method == "sha256_64" else hashlib.md5)(name.encode()).digest()
-    return int.from_bytes(digest[:8], "little") if name else 0

@@ -4,9 +4,9 @@ Intervals give strict minutes, day by day. Points split their band at the midpoi
 minutes leave of the band is filled in proportion. Units are grid cells or hexagons: the arithmetic is the same, they
 differ in where rows without a valid unit leave (cells after the factors, hexagons before).
 
-Rows are shuffled once, by user: the neighbours of a point, the sums by unit, the factors of a user's day and band and
-the result by user and unit all fall within that partitioning. Options.spread splits users over days as well, at the
-price of one more shuffle, where single users have very many rows.
+Rows are shuffled by user and day: the neighbours of a point, the sums by unit and the factors of a user's day and band
+fall within that partitioning, and no user's rows are one task. What is left, a row for each user, day, band and unit, is
+shuffled once more, by user. Without Options.spread the rows are dealt by user alone and the second shuffle falls away.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ class Options:
     drop_uuid_not_in_table: bool = False
     city_code_col: str | None = None
     city_code_value: str | None = None
-    spread: bool = False
+    spread: bool = True
 
     def __post_init__(self):
         if self.id_mode.lower() not in ID_MODES:

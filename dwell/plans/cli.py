@@ -197,7 +197,7 @@ def _filled(p: argparse.ArgumentParser) -> None:
     p.add_argument("--id_mode", default="uuid", choices=list(fill.ID_MODES))
     p.add_argument("--duckdb_temp_dir", default=None, help="accepted; spilling is Spark's")
     _yes(p, "resume_stage2", False)
-    _yes(p, "spread_users", False)
+    _yes(p, "spread_users", True)
 
 
 def parser() -> argparse.ArgumentParser:

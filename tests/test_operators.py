@@ -1,5 +1,6 @@
 """Hand-computed cases, invariants and odd inputs of the stay and visit operators."""
 
+import hashlib
 import json
 import math
 import random
@@ -11,7 +12,7 @@ from dwell.functions import bands as B
 from dwell.functions import histograms as H
 from dwell.functions import projection
 from dwell.functions.columns import as_text, equals, find, lon_lat, need
-from dwell.functions.hashing import reference_uid64, uid64
+from dwell.functions.hashing import uid64
 from dwell.functions.hexcells import cell_number, cell_text, cell_uid
 from dwell.functions.space import Grid, placed
 from dwell.operators import fill, minutes, visits
@@ -26,6 +27,12 @@ LOCAL = Clock(timestamps_are_utc=False)
 GRID = Grid("EPSG:32650", 0.0, 0.0, 10, 500.0, 10, (0.0, 0.0, 5000.0, 5000.0))
 
 
+def reference_uid64(name, method):
+    """In plain Python: the first eight bytes of the digest, last byte first."""
+    digest = (hashlib.sha256 if method == "sha256_64" else hashlib.md5)(name.encode()).digest()
+    return int.from_bytes(digest[:8], "little") if name else 0
+
+
 def at(text, day=0):
     h, m, *s = map(int, text.split(":"))
     return DAY0 + day * B.DAY + ((h * 60 + m) * 60 + (s[0] if s else 0)) * 1000
@@ -110,10 +117,11 @@ def test_golden_totals(spark):
         assert abs(d.p - (d.w if d.p else 0)) < 1e-6 and abs(d.f - (max(d.w, d.s) if d.p else d.s)) < 1e-6
 
 
-def test_one_shuffle_by_user(spark):
-    args = catalogue._p3(spark, SF)
-    plan = fill.strict_filled(*args)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+def test_rows_are_dealt_by_user_and_day(spark):
+    plan = lambda **more: fill.strict_filled(*catalogue._p3(spark, SF, **more))._jdf.queryExecution().executedPlan().toString()
+    by_day, by_user = plan(), plan(spread=False)
+    assert by_day.count("Exchange hashpartitioning") == 2 and "Exchange hashpartitioning(key#" in by_day and ", day#" in by_day.split("Exchange hashpartitioning")[2].split(")")[0] and "Python" not in by_day
+    assert by_user.count("Exchange hashpartitioning") == 1
 
 
 def test_pushed_city_filter(spark):
