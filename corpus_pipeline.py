@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwell.llm.common import written
+from dwell.llm.common import drop, written
 from dwell.llm.exact_dedup import exact_dedup
 from dwell.llm.mixing import drawn, mixing
 from dwell.llm.ngram_join import BROADCAST_ROWS, ngram_join
@@ -55,9 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """A stage's table is deleted when the next one's is written; the last stage reads what the one before it left."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = written(docs, name.replace(" ", "-"))
+            if before is not None:
+                drop(before)
+            before = docs
     return docs
