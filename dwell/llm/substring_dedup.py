@@ -59,7 +59,7 @@ PAD = 4 * REACH  # words beside a run that an extension may go through
 GAP_COST = 0.2
 UNEQUAL = 1.5  # what a word that is not equal costs against the 1 of an equal one
 DROP = 8  # an extension ends when its score is so far below its best
-BLOCK_BYTES = 32 << 20  # of text, at most, for each block of seeds or of documents
+BLOCK_BYTES = 16 << 20  # of text, at most, for each block of seeds or of documents
 FLUSH = 1 << 19
 BROADCAST_ROWS = 500_000
 NO_ID = 1 << 62  # documents without an id are numbered from here on
@@ -262,6 +262,12 @@ def _followed(n_blocks: int):
     """Bundles: matches of the followers with the first of all, which is the bundle's own first holder where no block told another."""
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            matches = np.concatenate(held)
+            yield from _bundled(matches, _by(np.ascontiguousarray(matches["doc"]), n_blocks), MATCHES)
+
         for _, rows in _grouped(batches, "bundle"):
             seeds, first = _ordered(np.concatenate([_rows(a, SEED) for k, _, a in rows if k == FOLLOWERS]))
             told = [_rows(a, SEED) for k, _, a in rows if k == TOLD]
@@ -273,8 +279,13 @@ def _followed(n_blocks: int):
                 hit = told["gram"][k] == seeds["gram"]
                 source[hit], at[hit] = told["doc"][k[hit]], told["pos"][k[hit]]
             other = seeds["doc"] != seeds["doc"][first]  # the first holder's own places are matched in the block
-            matches = _matches(seeds["doc"][other], seeds["pos"][other], source[other], at[other])
-            yield from _bundled(matches, _by(np.ascontiguousarray(matches["doc"]), n_blocks), MATCHES)
+            held.append(_matches(seeds["doc"][other], seeds["pos"][other], source[other], at[other]))
+            size += len(held[-1])
+            if size >= FLUSH:
+                yield from flush()
+                held, size = [], 0
+        if size:
+            yield from flush()
 
     return per_partition
 
@@ -590,9 +601,9 @@ def _aligned(min_words: int):
 def _round(texts: DataFrame, size: int, min_words: int, k: int = K, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """texts: doc, doc_id, text, ranges (where its seeds may stand; null: anywhere). All pieces, and the rooms of runs beside
     them: doc, gaps."""
-    n_blocks = max(10 * partitions(texts.sparkSession), -(-size // BLOCK_BYTES))
+    n_blocks = max(partitions(texts.sparkSession), -(-size // BLOCK_BYTES))
     n = max(partitions(texts.sparkSession), n_blocks // 16)
-    dealt = lambda df, key: df.repartition(n, key).sortWithinPartitions(key)
+    dealt = lambda df, key: (df.repartitionById(n, key) if key == "block" else df.repartition(n, key)).sortWithinPartitions(key)
     seeds = texts.select("doc", "text", "ranges").mapInArrow(_seeded(n_blocks, k, window), BUNDLE_SQL)
     slot = F.coalesce("block", F.lit(-1) - F.pmod(F.xxhash64("bundle"), F.lit(n_blocks)).cast("int"))
     met = written(dealt(seeds.withColumn("block", slot), "block").mapInArrow(_passed(_met(n_blocks)), BUNDLE_SQL), "matches")
