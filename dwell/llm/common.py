@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -53,6 +54,23 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task and would hold it beside the stages to come."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+        trim(0)
+
+
+def giving_back(inner: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """inner, after which its worker gives memory back."""
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from inner(batches)
+        give_back()
+
+    return per_partition
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table that written() returned, with its folder. Whatever is still to be read from it must not need it any more."""
     context = df.sparkSession.sparkContext

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dwell.llm import mph
-from dwell.llm.common import SPACE_CLASS, packed, partitions, quoted, small_batches, unpacked, written
+from dwell.llm.common import SPACE_CLASS, giving_back, packed, partitions, quoted, small_batches, unpacked, written
 
 KEYS_IN_SHARD = 50_000
 #: Rows of a shard beyond which it is split, as a multiple of the mean rows of a partition.
@@ -136,7 +136,7 @@ def _lookup(rows: DataFrame, index: DataFrame, counts: DataFrame, n_shards: int,
     first = index.join(hot, "shard", "left").select("shard", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("id"), "index", F.lit(None).cast(row).alias("row"))
     stream = asking.unionByName(first).repartition(n, "shard", "part").sortWithinPartitions("shard", "part", "kind", "digest", "id")
     fields = {"row": row, "id": T.LongType(), "digest": T.BinaryType(), "member": T.BooleanType(), "keep_id": T.LongType(), "group_size": T.LongType(), "kept": T.BooleanType()}
-    return stream.mapInArrow(_looked_up(tuple(fields)), T.StructType([T.StructField(k, v) for k, v in fields.items()]))
+    return stream.mapInArrow(giving_back(_looked_up(tuple(fields))), T.StructType([T.StructField(k, v) for k, v in fields.items()]))
 
 
 def _resolved(rows: DataFrame, slim: DataFrame, history: DataFrame | None) -> DataFrame:

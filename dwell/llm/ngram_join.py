@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwell.llm.common import partitions, quoted, small_batches, written
+from dwell.llm.common import give_back, giving_back, partitions, quoted, small_batches, written
 from dwell.llm.components import components
 from dwell.llm.mph import mixed
 from dwell.llm.word_hash import ngram_hashes
@@ -55,6 +55,7 @@ BLOCKS_PER_PARTITION = 2
 BLOCK_BYTES = 32 << 20  # of text, at most, for each block of n-grams
 BLOCK = 512
 BLOCK_GRAMS = 1 << 18
+CLASSES_TO_TRIM = 64  # of a product, beyond which its memory is given back
 CHUNK = 2048  # columns of the incidence matrix in one product
 #: Clustered classes up to which their ids are broadcast (8 bytes each); beyond, the texts are joined by shuffle.
 BROADCAST_ROWS = 500_000
@@ -313,6 +314,8 @@ def _product(percent: int):
         nodes = sorted(held)
         sets = [np.frombuffer(held[v], np.uint64) for v in nodes]
         found = forest(len(nodes), links(sets, percent)) if len(nodes) > 1 else []
+        if len(nodes) > CLASSES_TO_TRIM:
+            give_back()
         return pa.table({"a": pa.array([nodes[a] for a, _ in found], pa.int64()), "b": pa.array([nodes[b] for _, b in found], pa.int64())})
 
     return of
@@ -328,7 +331,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_blocks = max(BLOCKS_PER_PARTITION * n, -(-size // BLOCK_BYTES))
     n_tasks, n_class_blocks = max(n, n_blocks // 8), max(n, n_blocks // 2)
 
-    sent = written(texts.mapInArrow(_sent(n_words, percent, SHARE, n_blocks), SENT_SQL), "sent")
+    sent = written(texts.mapInArrow(giving_back(_sent(n_words, percent, SHARE, n_blocks)), SENT_SQL), "sent")
     own = sent.where("kind = 0").select("doc_id", "node", "name", "n", "n_low")
     # sets of one name are one class, whatever bundles they came in; its node is the least of theirs
     nodes = written(own.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("name").alias("name"), F.first("n").alias("n"), F.first("n_low").alias("n_low")), "nodes")
@@ -336,10 +339,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = nodes.join(classes.select("name", "class"), "name").where("node <> class").select("node", "class")
 
     dealt = sent.where("kind = 1").select("block", "node", "grams", "nodes").repartition(n_tasks, "block").sortWithinPartitions("block")
-    shared = dealt.mapInArrow(_shared(n_class_blocks), SHARED_SQL)
-    named = nodes.mapInArrow(_blocked(n_class_blocks), SHARED_SQL)
+    shared = dealt.mapInArrow(giving_back(_shared(n_class_blocks)), SHARED_SQL)
+    named = nodes.mapInArrow(giving_back(_blocked(n_class_blocks)), SHARED_SQL)
     met = shared.unionByName(named).repartition(n_tasks, "block").sortWithinPartitions("block")
-    postings = met.mapInArrow(_prefixes(percent, SHARE), POSTINGS_SQL)
+    postings = met.mapInArrow(giving_back(_prefixes(percent, SHARE)), POSTINGS_SQL)
     postings = written(postings.join(copies, "node", "left").select("gram", F.coalesce("class", "node").alias("node")), "postings")
 
     lists = postings.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("gram", "hub")
@@ -359,7 +362,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     chosen = texts.join(wanted, texts.doc_id.eqNullSafe(F.col("least"))).select(*CHOSEN, "name", "text")
-    sets = chosen.mapInArrow(_sets(n_words), ", ".join(f"{c} {'long' if c in ('node', 'cluster') else 'int'}" for c in CHOSEN) + ", grams binary")
+    sets = chosen.mapInArrow(giving_back(_sets(n_words)), ", ".join(f"{c} {'long' if c in ('node', 'cluster') else 'int'}" for c in CHOSEN) + ", grams binary")
     c, at = F.col("step"), F.col("at")
     pair = lambda s, i, t, j: F.struct(s.alias("s"), i.alias("i"), t.alias("t"), j.alias("j"))
     each = lambda count, f: F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), f)).otherwise(F.array().cast("array<struct<s:int,i:int,t:int,j:int>>"))

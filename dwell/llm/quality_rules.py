@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwell.llm.common import quoted, small_batches
+from dwell.llm.common import give_back, quoted, small_batches
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -87,6 +87,7 @@ def measures(text: Column) -> Column:
     @F.arrow_udf(kind)
     def of(texts: pa.Array) -> pa.Array:
         rows = np.array([measure(t or "") for t in texts.to_pylist()], np.int64).reshape(-1, len(MEASURES))
+        give_back()
         return pa.StructArray.from_arrays([pa.array(rows[:, i].copy()) for i in range(len(MEASURES))], names=list(MEASURES))
 
     return of(text)
