@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwell.llm.common import drop, written
+from dwell.llm.common import drop, noted, written
 from dwell.llm.exact_dedup import exact_dedup
 from dwell.llm.mixing import drawn, mixing
 from dwell.llm.ngram_join import BROADCAST_ROWS, ngram_join
@@ -23,7 +23,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the base rules or the posterior of the weighed votes reject."""
-    return quality_rules(docs, columns=COLUMNS).where("kept").select(*COLUMNS)
+    return quality_rules(docs, columns=COLUMNS, store=lambda df: written(df, "measured")).where("kept").select(*COLUMNS)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as bring the domains' tokens to their target weights; in all as many tokens as came in."""
-    out, _ = mixing(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), columns=COLUMNS, store=lambda df: written(df, "posteriors"), wide=True)
+    out, _ = mixing(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), columns=COLUMNS, store=lambda df: written(df, "posteriors"))
     return drawn(out, COLUMNS)
 
 
@@ -55,13 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stage's table is deleted when the next one's is written; the last stage reads what the one before it left."""
-    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs, name.replace(" ", "-"))
-            if before is not None:
-                drop(before)
-            before = docs
-    return docs
+    """What a stage writes on its way is deleted when its table is written, and that table when the next one's is; the last
+    stage reads what the one before it left."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for name, stage in STAGES[:-1]:
+        with noted() as folders:
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        *passing, kept = folders
+        for folder in before + passing:
+            drop(spark, folder)
+        before = [kept]
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,8 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -40,10 +42,26 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/dwell-{what}-{uuid.uuid4().hex}"
 
 
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The folders that written() fills meanwhile, in order."""
+    folders: list[str] = []
+    token = _noted.set(folders)
+    try:
+        yield folders
+    finally:
+        _noted.reset(token)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """The rows of df, written to the shared folder and read back: this cuts the lineage at files that outlive executors."""
     path = new_folder(df.sparkSession, what)
     df.write.parquet(path)
+    if (folders := _noted.get()) is not None:
+        folders.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -71,13 +89,11 @@ def giving_back(inner: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     return per_partition
 
 
-def drop(df: DataFrame) -> None:
-    """Delete a table that written() returned, with its folder. Whatever is still to be read from it must not need it any more."""
-    context = df.sparkSession.sparkContext
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/dwell-" in name:
-            path = context._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+def drop(spark: SparkSession, folder: str) -> None:
+    """Delete a table that written() left there. Whatever is still to be read from it must not need it any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:

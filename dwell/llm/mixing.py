@@ -257,21 +257,16 @@ def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_ra
         ahead = (before_k - 1) / k if k > 1 else 0.0
 
 
-def mixing(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None, min_rate: float = 0.0, growth: float = 1.0, store=lambda df: df, wide: bool = False) -> tuple[DataFrame, Model]:
+def mixing(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None, min_rate: float = 0.0, growth: float = 1.0, store=lambda df: df) -> tuple[DataFrame, Model]:
     """(the input's columns, or those named, with n_tokens, posteriors (a map by domain) and rate; the model).
 
-    store keeps a slim table between the steps. wide: columns are many, so only n_tokens and p are stored for the
-    fitting, and the rows themselves are scored once more at the end.
+    store: a way to keep the scored rows, of which the steps read n_tokens and p alone; without one they are scored anew.
     """
     targets = TARGETS if targets is None else targets
     columns = [c for c in (docs.columns if columns is None else columns) if c not in OUTPUTS]
     model = train(docs, labels, id_col, text_col)
-    if wide:
-        slim = store(with_posteriors(docs, model, text_col, []).select("n_tokens", "p"))
-        rows = with_posteriors(docs, model, text_col, columns)
-    else:
-        rows = slim = store(with_posteriors(docs, model, text_col, columns))
-    steps = solve(slim.select("n_tokens", "p"), model.domains, targets, min_rate, growth)
+    rows = store(with_posteriors(docs, model, text_col, columns))
+    steps = solve(rows.select("n_tokens", "p"), model.domains, targets, min_rate, growth)
     names = F.array(*[F.lit(d) for d in model.domains])
     out = rows.select(*[F.col("row").getField(c).alias(c) for c in columns], "n_tokens", F.map_from_arrays(names, "p").alias("posteriors"), _once(folded(steps, min_rate)).alias("rate"))
     return out, model

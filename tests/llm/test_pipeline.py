@@ -78,3 +78,24 @@ def test_run_and_the_entry(spark):
     assert __spark_entry__.queries()["pipeline"] is P.run
     out = P.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns)
+
+
+def test_texts_are_measured_and_scored_once(spark, tmp_path):
+    """Of a stage that needs its rows twice, the second reading is of a table that holds what the first worked out."""
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, work in (("quality rules", "ArrowEvalPython"), ("mixing", "regexp_count")):
+        plan = dict(P.STAGES)[name](spark, df, SF)._jdf.queryExecution().toString()
+        assert work not in plan and "FileScan" in plan, name
+
+
+def test_run_leaves_one_table(spark):
+    from pathlib import Path
+
+    from dwell.llm.common import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    out = P.run(spark, SF)
+    left = set(folder.iterdir()) - before
+    assert [x.name.rsplit("-", 1)[0] for x in left] == ["dwell-mixing"]
+    assert out.count() > 0
