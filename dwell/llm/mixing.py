@@ -15,7 +15,7 @@ rate >= min_rate, by projected gradient descent in the metric of the documents'
 where ahead is the rate moved on in the direction of its last change (Nesterov's acceleration, which starts anew when
 the cost rises). The matrix of that step has rows that sum to 1, so step length 1 never diverges. Documents of equal
 posteriors have equal rates and are one row. A step is one aggregation of these rows (no shuffle beyond one row for each
-task); a rate is the fold of the residuals since the state was last written, every FOLD steps. The steps end by proof:
+task); a rate is the fold of the residuals since the state was last written, every FOLD steps. Where distinct posteriors are few (COLLECTED), the driver takes the same steps in memory. The steps end by proof:
 residuals give a lower bound of the cost (the dual problem), and the cost must be as near to it as GAP of the cost at
 the start, or every domain within tolerance of its target.
 
@@ -32,6 +32,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,8 @@ MAX_DOMAINS = 32
 FOLD = 16
 #: How near the cost must come to its lower bound, as a share of the cost at the start.
 GAP = 1e-3
+#: Distinct posteriors up to which the driver takes the steps: targets that no rates reach take thousands of them.
+COLLECTED = 100_000
 TOLERANCE = 1e-3
 #: Shares of tokens by domain; q: quality, t: toxic.
 TARGETS = {"q1t0": 0.90, "q1t1": 0.04, "q0t0": 0.055, "q0t1": 0.005}
@@ -209,13 +212,49 @@ def folded(steps: list[Step], min_rate: float) -> Column:
     return _moved(F.struct(first.alias("before"), first.alias("now")), steps, min_rate)["now"]
 
 
-def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_rate: float = 0.0, growth: float = 1.0, rounds: int = FOLD, tolerance: float = TOLERANCE, gap: float = GAP, store=lambda df: written(df, "rates")) -> list[Step]:
-    """slim: n_tokens and p. growth: the mix's tokens over the input's. rounds: steps after which the state is stored."""
-    first = F.greatest(F.lit(1.0), F.lit(float(min_rate)))
-    state = slim.groupBy("p").agg(F.sum("n_tokens").alias("n_tokens")).where("n_tokens > 0")
-    state = store(state.select("p", "n_tokens", F.struct(first.alias("before"), first.alias("now")).alias("state")))
+@dataclass
+class Few:
+    """Distinct posteriors, a row each, and the tokens of their documents."""
+
+    p: np.ndarray
+    n_tokens: np.ndarray
+
+    def states(self, min_rate: float) -> list[np.ndarray]:
+        """Rates before the last step and now."""
+        return [np.full(len(self.p), max(1.0, float(min_rate))) for _ in range(2)]
+
+    def move(self, states: list[np.ndarray], step: Step, min_rate: float) -> None:
+        before, now = states
+        states[:] = now, np.maximum(min_rate, now + step.ahead * (now - before) - self.p @ np.array(step.residual))
+
+    def rates(self, steps: list[Step], min_rate: float) -> np.ndarray:
+        states = self.states(min_rate)
+        for step in steps:
+            self.move(states, step, min_rate)
+        return states[1]
+
+
+def collected(slim: DataFrame, n_domains: int, most: int = COLLECTED) -> Few | None:
+    """The distinct posteriors of slim, if they are no more than most."""
+    rows = slim.groupBy("p").agg(F.sum("n_tokens").alias("n")).limit(most + 1).collect()
+    if len(rows) > most:
+        return None
+    return Few(np.array([r.p for r in rows], float).reshape(-1, n_domains), np.array([r.n or 0 for r in rows], float))
+
+
+def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_rate: float = 0.0, growth: float = 1.0, rounds: int = FOLD, tolerance: float = TOLERANCE, gap: float = GAP, store=lambda df: written(df, "rates"), few: Few | None = None) -> list[Step]:
+    """slim: n_tokens and p. growth: the mix's tokens over the input's. rounds: steps after which the state is stored.
+    few: what collected() gave; then the driver takes the same steps, without a job for each."""
     n = range(len(domains))
-    base = [float(x or 0.0) for x in state.agg(*[F.sum(F.col("n_tokens") * F.col("p")[i]).alias(f"s{i}") for i in n]).first()]
+    if few is not None:
+        few = Few(few.p[few.n_tokens > 0], few.n_tokens[few.n_tokens > 0])
+        states = few.states(min_rate)
+        base = (few.n_tokens @ few.p).tolist() if len(few.p) else [0.0 for _ in n]
+    else:
+        first = F.greatest(F.lit(1.0), F.lit(float(min_rate)))
+        state = slim.groupBy("p").agg(F.sum("n_tokens").alias("n_tokens")).where("n_tokens > 0")
+        state = store(state.select("p", "n_tokens", F.struct(first.alias("before"), first.alias("now")).alias("state")))
+        base = [float(x or 0.0) for x in state.agg(*[F.sum(F.col("n_tokens") * F.col("p")[i]).alias(f"s{i}") for i in n]).first()]
     wanted = [targets.get(d, 0.0) if domains != ["all"] else 1.0 for d in domains]
     all_tokens = sum(base)
     if not all_tokens or not sum(wanted):
@@ -233,7 +272,10 @@ def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_ra
     new: list[Step] = []
     k, last, lower, start = 1.0, math.inf, 0.0, None
     ahead = 0.0
-    while True:
+
+    def sums() -> tuple[list[float], list[float], float]:
+        """The domains' tokens at the point of evaluation and at the rates, and the least product with the last residuals."""
+        nonlocal state, new
         moved = state.select("p", "n_tokens", _once(_moved(F.col("state"), new, min_rate)).alias("state")) if new else state
         if len(new) >= rounds:
             state, new = store(moved), []
@@ -242,11 +284,21 @@ def solve(slim: DataFrame, domains: list[str], targets: dict[str, float], min_ra
         point = F.aggregate(_numbers([ahead]), now, lambda x, a: x + a * (now - before))
         least = F.min(_dot(p, _numbers(steps[-1].residual if steps else [0.0] * len(domains))))
         r = moved.agg(*[F.sum(point * t * p[i]).alias(f"a{i}") for i in n], *[F.sum(now * t * p[i]).alias(f"s{i}") for i in n], least.alias("least")).first()
-        there, here = [float(r[f"a{i}"]) for i in n], [float(r[f"s{i}"]) for i in n]
+        return [float(r[f"a{i}"]) for i in n], [float(r[f"s{i}"]) for i in n], r["least"]
+
+    def sums_of_few() -> tuple[list[float], list[float], float]:
+        if new:
+            few.move(states, new.pop(), min_rate)
+        before, now = states
+        least = float((few.p @ np.array(steps[-1].residual)).min()) if steps else 0.0
+        return (((now + ahead * (now - before)) * few.n_tokens) @ few.p).tolist(), ((now * few.n_tokens) @ few.p).tolist(), least
+
+    while True:
+        there, here, least = sums() if few is None else sums_of_few()
         cost = cost_of(here)
         start = cost if start is None else start
         if steps:
-            lower = max(lower, bound(steps[-1].residual, r["least"]))
+            lower = max(lower, bound(steps[-1].residual, least))
         if max(abs(s - g) for s, g, b in zip(here, goal, base) if b > 0) <= tolerance * all_tokens or cost - lower <= gap * start:
             return steps
         step = Step(ahead, [(s - g) / b if b > 0 else 0.0 for s, g, b in zip(there, goal, base)])
@@ -264,11 +316,20 @@ def mixing(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None
     """
     targets = TARGETS if targets is None else targets
     columns = [c for c in (docs.columns if columns is None else columns) if c not in OUTPUTS]
+    spark = docs.sparkSession
     model = train(docs, labels, id_col, text_col)
     rows = store(with_posteriors(docs, model, text_col, columns))
-    steps = solve(rows.select("n_tokens", "p"), model.domains, targets, min_rate, growth)
+    slim = rows.select("n_tokens", "p")
+    few = collected(slim, len(model.domains))
+    steps = solve(slim, model.domains, targets, min_rate, growth, few=few)
+    if few is None or len(steps) <= FOLD:
+        rate = _once(folded(steps, min_rate))
+    else:  # equal posteriors have equal rates: looked up, so that no row folds thousands of steps
+        table = pa.table({"_p": pa.array(few.p.tolist(), pa.list_(pa.float64())), "_rate": few.rates(steps, min_rate)})
+        found = F.broadcast(spark.createDataFrame(table))
+        rows, rate = rows.join(found, F.col("p") == F.col("_p"), "left"), F.col("_rate")
     names = F.array(*[F.lit(d) for d in model.domains])
-    out = rows.select(*[F.col("row").getField(c).alias(c) for c in columns], "n_tokens", F.map_from_arrays(names, "p").alias("posteriors"), _once(folded(steps, min_rate)).alias("rate"))
+    out = rows.select(*[F.col("row").getField(c).alias(c) for c in columns], "n_tokens", F.map_from_arrays(names, "p").alias("posteriors"), rate.alias("rate"))
     return out, model
 
 

@@ -103,3 +103,28 @@ def test_query_meets_targets_or_the_best_that_posteriors_allow(spark):
     assert off <= M.TOLERANCE or cost(rate, p, t, goal) <= cost(brute(p, t, goal, 0.0), p, t, goal) + 1.01 * M.GAP * cost(np.ones(len(t)), p, t, goal)
     assert off <= 0.005, dict(zip(names, (rate * t) @ p / t.sum()))
     assert cost(rate, p, t, goal) < 0.3 * cost(np.ones(len(t)), p, t, goal)
+
+
+def test_targets_out_of_reach(spark):
+    """A domain with hardly a document takes thousands of steps: none of them is a job where posteriors are few."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from dwell.llm import mixing as M
+
+    own = np.random.default_rng(3)
+    p = np.concatenate([own.dirichlet([0.002, 6.0, 0.8], 300), [[0.004, 0.9, 0.096]]])
+    slim = spark.createDataFrame([(int(n), x.tolist()) for n, x in zip(own.integers(0, 300, len(p)), p)], "n_tokens long, p array<double>")
+    domains = ["q0t0", "q1t0", "q1t1"]
+    jobs = []
+    few = M.collected(slim, 3)
+    steps = M.solve(slim, domains, M.TARGETS, few=few, store=lambda df: jobs.append(df) or df)
+    assert not jobs and len(steps) > 0 and M.collected(slim, 3, most=10) is None
+    # the same steps as those of the jobs, and the fold over the rows gives the rates that are looked up
+    goals = {"q0t0": 0.1, "q1t0": 0.7, "q1t1": 0.2}
+    here, there = M.solve(slim, domains, goals, few=few, gap=1e-9, tolerance=0.02), M.solve(slim, domains, goals, gap=1e-9, tolerance=0.02, store=lambda df: df.localCheckpoint())
+    assert len(here) == len(there) > 0
+    assert all(np.allclose([a.ahead, *a.residual], [b.ahead, *b.residual], rtol=1e-6, atol=1e-9) for a, b in zip(here, there))
+    rates = {tuple(x): r for x, r in zip(few.p.tolist(), few.rates(here, 0.0))}
+    rows = slim.select("p", M.folded(here, 0.0).alias("rate")).collect()
+    assert all(abs(rates[tuple(r.p)] - r.rate) < 1e-9 * max(1, r.rate) for r in rows)
